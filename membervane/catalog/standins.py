@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from membervane.functions.dates import months_back, period_of, period_tag
 from membervane.operators.history import window_averages
@@ -36,8 +37,15 @@ MODELS = ValueModels(
 )
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A sample table; its schema is read from the files once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def member(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,9 +75,9 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
 
     Lines are summed per order in whole hundredths of a cent before they meet their order.
     """
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    discount = F.round(F.col("l_discount") * 100).cast("bigint")
-    tax = F.round(F.col("l_tax") * 100).cast("bigint")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    discount = F.rint(F.col("l_discount") * 100).cast("bigint")
+    tax = F.rint(F.col("l_tax") * 100).cast("bigint")
     per_order = (
         table(spark, sf, "lineitem")
         .groupBy(F.col("l_orderkey").alias("order_id"))

@@ -26,7 +26,10 @@ def valid_period(col: Column) -> Column:
 
 def period_date(col: Column) -> Column:
     """``YYYYMM`` to the first day of that month; NULL if it is no month."""
-    return F.try_to_date(col.cast("string"), "yyyyMM")
+    number = col.try_cast("int")
+    month = number % 100
+    is_month = number.between(100001, 999912) & month.between(1, 12)
+    return F.when(is_month, F.make_date(F.floor(number / 100).cast("int"), month, F.lit(1)))
 
 
 def period_of(date: Column) -> Column:
@@ -56,9 +59,36 @@ def period_tag(date: Column) -> Column:
     return F.concat(F.element_at(names, F.month(date)), F.date_format(date, "yy"))
 
 
+_DIGITS = {"yyyy": "[0-9]{4}", "MM": "(0[1-9]|1[0-2])", "dd": "(0[1-9]|[12][0-9]|3[01])"}
+
+
+def _parse_date(col: Column, pattern: str) -> Column:
+    """Date of a text in one format, NULL if it does not fit.
+
+    A format of ``yyyy``, ``MM``, ``dd`` and separators is read by position, which costs a
+    fraction of a formatter, above all where the text does not fit. Others go through Spark's.
+    """
+    separators = re.sub("yyyy|MM|dd", "", pattern)
+    if re.search("[A-Za-z]", separators) or any(pattern.count(p) != 1 for p in _DIGITS):
+        return F.try_to_date(col, pattern)
+
+    def part(name: str) -> Column:
+        return F.substring(col, pattern.index(name) + 1, len(name)).cast("int")
+
+    shape = re.sub("yyyy|MM|dd|.", lambda m: _DIGITS.get(m[0], re.escape(m[0])), pattern)
+    day = F.date_add(F.make_date(part("yyyy"), part("MM"), F.lit(1)), part("dd") - 1)
+    same_month = F.when(F.month(day) == part("MM"), day)
+    return F.when(col.rlike(f"^{shape}$"), same_month)
+
+
+def mixed_date(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Text date in the first format that parses it; NULL if none does."""
+    return F.coalesce(*[_parse_date(col, p) for p in formats])
+
+
 def mixed_date_period(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Period of a text date in the first format that parses it; NULL if none does."""
-    return F.coalesce(*[period_of(F.try_to_date(col, pattern)) for pattern in formats])
+    return period_of(mixed_date(col, formats))
 
 
 def shift_leavers(period: Column, code: Column, codes: Sequence[str] = LEAVER_CODES) -> Column:

@@ -60,6 +60,11 @@ def bucket_cuts(
     return cuts
 
 
+def constants(numbers: Sequence[float]) -> Column:
+    """A constant array of doubles."""
+    return F.expr("array(" + ", ".join(f"double('{float(x)!r}')" for x in numbers) + ")")
+
+
 def with_bucket(df: DataFrame, col: str, cuts: Sequence[float], out: str) -> DataFrame:
     """Add the number of the range bucket a value falls in, by binary search on the cuts."""
     if not cuts:
@@ -284,21 +289,21 @@ def _rank_on(df: DataFrame, source: str, out: str, quantiles: Sequence[float | N
     knots = sorted(set(quantiles))
     first = {v: i for i, v in reversed(list(enumerate(quantiles)))}
     last = {v: i for i, v in enumerate(quantiles)}
+    following = [*knots[1:], knots[-1]]
     value, segment = "_value", "_segment"
     df = with_bucket(df.withColumn(value, _present(source)), value, knots, segment)
 
     def at(numbers: Sequence[float]) -> Column:
         """Number of the knot at or below the value; segment 0 lies below every knot."""
-        return F.get(F.array(*[F.lit(float(x)) for x in numbers]), F.col(segment) - 1)
+        return F.get(constants(numbers), F.col(segment) - 1)
 
-    x = F.col(value)
-    middle = (at([first[k] for k in knots]) + at([last[k] for k in knots])) / 2 / steps
-    slope = (x - at(knots)) / (at([*knots[1:], math.inf]) - at(knots))
-    between = (at([last[k] for k in knots]) + slope) / steps
+    x, low, last_at = F.col(value), at(knots), at([last[k] for k in knots])
+    middle = (at([first[k] for k in knots]) + last_at) / 2 / steps
+    between = (last_at + (x - low) / (at(following) - low)) / steps
     rank = (
         F.when(x <= knots[0], F.lit(0.0))
         .when(x >= knots[-1], F.lit(1.0))
-        .when(x == at(knots), middle)
+        .when(x == low, middle)
         .when(x.isNotNull(), between)
     )
     return df.withColumn(out, rank).drop(value, segment)
