@@ -411,7 +411,7 @@ ELSE p_brand END AS raw FROM part)""",
     "quantile_cuts": """SELECT 'balance' AS "column", f AS fraction, round(v, 6) AS value FROM (
 SELECT unnest([0.0, 0.33, 0.66, 1.0, 0.8, 0.9, 0.95, 1.0])::DOUBLE AS f,
 unnest(quantile_cont(balance, [0.0, 0.33, 0.66, 1.0, 0.8, 0.9, 0.95, 1.0])) AS v FROM member)""",
-    "row_mean": """SELECT member_id, round((a + b + c) / nullif((a <> 0)::INTEGER + (b <> 0)::INTEGER + (c <> 0)::INTEGER, 0), 6) AS mean_income
+    "row_mean": """SELECT member_id, round((a + b + c) / nullif((a <> 0)::INTEGER + (b <> 0)::INTEGER + (c <> 0)::INTEGER, 0), 8) AS mean_income
 FROM (SELECT member_id, income_mva_1to6m AS a, income_mva_7to12m AS b, income_mva_13to24m AS c FROM averages)""",
     "validate": """SELECT *, violations = 0 AS success FROM (
 SELECT 'not_null' AS expectation, 'o_custkey' AS "column", count(*) FILTER (WHERE o_custkey IS NULL) AS violations FROM orders

@@ -399,7 +399,7 @@ def quantile_cuts(spark, sf):
 def row_mean(spark, sf):
     a = st.averages(spark, sf)
     spans = [F.nullif(F.col(f"income_mva_{s}"), F.lit(0.0)) for s in ("1to6m", "7to12m", "13to24m")]
-    return rounded(a.select("member_id", numeric.row_mean(spans).alias("mean_income")))
+    return rounded(a.select("member_id", numeric.row_mean(spans).alias("mean_income")), 8)
 
 
 @query

@@ -77,5 +77,5 @@ def attach_values(scored: DataFrame, values: DataFrame, key: str) -> DataFrame:
 
 
 def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Rows whose member is in the given population."""
-    return df.join(members.select(key), key, "left_semi")
+    """Rows whose member is in the given population; its copies are dropped before they travel."""
+    return df.join(members.select(key).distinct(), key, "left_semi")

@@ -12,7 +12,7 @@ from membervane.operators.quantiles import (
     bucket_cuts,
     count_values,
     exact_quantiles,
-    with_bucket,
+    with_buckets,
 )
 from membervane.session import stage
 
@@ -175,7 +175,7 @@ def wasserstein(
     total = count_values(tagged, ["value"])["value"]
     cuts = bucket_cuts(tagged, ["value"], {"value": total}, bucket_rows)["value"]
     counted = (
-        with_bucket(tagged, "value", cuts, "bucket")
+        with_buckets(tagged, {"value": cuts}, {"value": "bucket"})
         .groupBy("bucket", "value")
         .agg(F.sum("in_a").alias("n_a"), F.sum(1 - F.col("in_a")).alias("n_b"))
     )

@@ -65,13 +65,26 @@ def constants(numbers: Sequence[float]) -> Column:
     return F.expr("array(" + ", ".join(f"double('{float(x)!r}')" for x in numbers) + ")")
 
 
-def with_bucket(df: DataFrame, col: str, cuts: Sequence[float], out: str) -> DataFrame:
-    """Add the number of the range bucket a value falls in, by binary search on the cuts."""
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    splits = [-math.inf, *cuts, math.inf]
-    found = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
-    return found.withColumn(out, F.col(out).cast("int"))
+def with_buckets(
+    df: DataFrame, cuts: Mapping[str, Sequence[float]], out: Mapping[str, str]
+) -> DataFrame:
+    """Add the number of the range bucket each column's value falls in, as a double.
+
+    Found by binary search on the cuts; a column without cuts has one bucket, zero.
+    """
+    single = {out[c]: F.lit(0.0) for c in cuts if not cuts[c]}
+    several = [c for c in cuts if cuts[c]]
+    if single:
+        df = df.withColumns(single)
+    if several:
+        search = Bucketizer(
+            splitsArray=[[-math.inf, *cuts[c], math.inf] for c in several],
+            inputCols=several,
+            outputCols=[out[c] for c in several],
+            handleInvalid="keep",
+        )
+        df = search.transform(df)
+    return df
 
 
 @dataclass
@@ -140,9 +153,7 @@ def rank_values(
     sizes = dict(sizes or count_values(df, columns))
     cuts = bucket_cuts(df, columns, sizes, bucket_rows)
     buckets = {c: f"_bucket_{i}" for i, c in enumerate(columns)}
-    wide = df.select(*[_present(c).alias(c) for c in columns])
-    for c in columns:
-        wide = with_bucket(wide, c, cuts[c], buckets[c])
+    wide = with_buckets(df.select(*[_present(c).alias(c) for c in columns]), cuts, buckets)
     entries = [
         F.struct(
             F.lit(c).alias("series"),
@@ -277,36 +288,44 @@ def quantile_rank(
         n = max(2, min(n_quantiles, sizes[c]))
         fractions[c] = [i / (n - 1) for i in range(n)]
     quantiles = _quantiles(df, sources, fractions, sizes, small_rows)
-    for source, out in columns.items():
-        df = _rank_on(df, source, out, quantiles[source])
-    return df
+    filled = [c for c in sources if sizes[c]]
+    values = {c: f"_value_{i}" for i, c in enumerate(filled)}
+    segments = {v: f"_segment_{i}" for i, v in enumerate(values.values())}
+    located = with_buckets(
+        df.withColumns({v: _present(c) for c, v in values.items()}),
+        {values[c]: sorted(set(quantiles[c])) for c in filled},
+        segments,
+    )
+    ranks = {
+        out: _rank(F.col(values[c]), F.col(segments[values[c]]), quantiles[c])
+        if c in values
+        else F.lit(None).cast("double")
+        for c, out in columns.items()
+    }
+    return located.withColumns(ranks).drop(*values.values(), *segments.values())
 
 
-def _rank_on(df: DataFrame, source: str, out: str, quantiles: Sequence[float | None]) -> DataFrame:
-    if quantiles[0] is None:
-        return df.withColumn(out, F.lit(None).cast("double"))
+def _rank(x: Column, segment: Column, quantiles: Sequence[float]) -> Column:
+    """Fraction of a value that lies in the given segment between two different quantiles."""
     steps = len(quantiles) - 1
     knots = sorted(set(quantiles))
     first = {v: i for i, v in reversed(list(enumerate(quantiles)))}
     last = {v: i for i, v in enumerate(quantiles)}
-    following = [*knots[1:], knots[-1]]
-    value, segment = "_value", "_segment"
-    df = with_bucket(df.withColumn(value, _present(source)), value, knots, segment)
+    # Segment 0 lies below every knot, segment k between knots k - 1 and k.
+    place = segment.cast("int") - 1
 
     def at(numbers: Sequence[float]) -> Column:
-        """Number of the knot at or below the value; segment 0 lies below every knot."""
-        return F.get(constants(numbers), F.col(segment) - 1)
+        return F.get(constants(numbers), place)
 
-    x, low, last_at = F.col(value), at(knots), at([last[k] for k in knots])
-    middle = (at([first[k] for k in knots]) + last_at) / 2 / steps
-    between = (last_at + (x - low) / (at(following) - low)) / steps
-    rank = (
+    low, low_rank = at(knots), at([last[k] for k in knots])
+    middle = at([(first[k] + last[k]) / 2 / steps for k in knots])
+    between = (low_rank + (x - low) / (at([*knots[1:], knots[-1]]) - low)) / steps
+    return (
         F.when(x <= knots[0], F.lit(0.0))
         .when(x >= knots[-1], F.lit(1.0))
         .when(x == low, middle)
         .when(x.isNotNull(), between)
     )
-    return df.withColumn(out, rank).drop(value, segment)
 
 
 def rank_lookup(
@@ -327,23 +346,19 @@ def rank_lookup(
     for s in series_names:
         size = F.when(F.col("series") == s, F.lit(ranking.sizes[s])).otherwise(size)
     position = F.col(p) * (size - 1)
-    located = requests.withColumn("_floor", F.floor(position)).withColumn(
-        "_share", position - F.col("_floor")
+    starts = {f"_at_{i}": [float(x) for x in ranking.starts(s)[1:]] for i, s in enumerate(series_names)}
+    slots = {at: f"_slot_{i}" for i, at in enumerate(starts)}
+    floor = F.floor(position)
+    located = requests.withColumns(
+        {"_floor": floor, "_share": position - floor, **{at: floor.cast("double") for at in starts}}
     )
+    located = with_buckets(located, starts, slots)
     bucket: Column = F.lit(None).cast("int")
-    for i, s in enumerate(series_names):
-        slot = f"_slot_{i}"
-        starts = ranking.starts(s)
-        located = with_bucket(
-            located.withColumn("_at", F.col("_floor").cast("double")),
-            "_at",
-            [float(x) for x in starts[1:]],
-            slot,
-        )
-        numbers = F.array(*[F.lit(b) for b, _, _ in ranking.totals[s]] or [F.lit(None).cast("int")])
-        bucket = F.when(F.col("series") == s, F.get(numbers, F.col(slot))).otherwise(bucket)
-    slots = [f"_slot_{i}" for i in range(len(series_names))]
-    located = located.withColumn("bucket", bucket).drop("_at", *slots)
+    for s, slot in zip(series_names, slots.values(), strict=True):
+        numbers = constants([b for b, _, _ in ranking.totals[s]])
+        found = F.get(numbers, F.col(slot).cast("int")).cast("int")
+        bucket = F.when(F.col("series") == s, found).otherwise(bucket)
+    located = located.withColumn("bucket", bucket).drop(*starts, *slots.values())
 
     # At most MAX_BUCKETS rows per series.
     loads = located.groupBy("series", "bucket").count().collect()
@@ -356,8 +371,8 @@ def rank_lookup(
     table = spark.createDataFrame(shares, "series string, bucket int, shares int")
     values = (
         ranking.ranked()
-        .join(F.broadcast(table), ["series", "bucket"])
-        .withColumn("_lot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        .join(F.broadcast(table), ["series", "bucket"], "left")
+        .withColumn("_lot", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)))
         .select(
             "series",
             "bucket",

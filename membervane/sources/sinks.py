@@ -35,13 +35,20 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, upper: bool
     writer.saveAsTable(name)
 
 
-def truncate_append(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Replace a table's rows: all of them, or only those of the partitions ``df`` has rows for."""
-    writer = df.write.mode("overwrite")
+def truncate_append(
+    df: DataFrame, path: str, partition: str | None = None, single_value: bool = False
+) -> None:
+    """Replace a table's rows: all of them, or only those of the partitions ``df`` has rows for.
+
+    Rows are first gathered by partition value, so that a partition gets few files; a value with
+    very many rows is split over several tasks. Needless where there is a ``single_value``.
+    """
     if partition is None:
-        writer.parquet(path)
-    else:
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        return
+    gathered = df if single_value else df.hint("rebalance", F.col(partition))
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
 
 
 def write_result(report: DataFrame, path: str) -> None:
@@ -58,9 +65,9 @@ def publish(tables: Mapping[str, DataFrame], folder: str, period: int) -> DataFr
     manifest = []
     for name, df in tables.items():
         target = f"{folder.rstrip('/')}/{name}"
-        truncate_append(df.withColumn("period", F.lit(period)), target, "period")
+        truncate_append(df.withColumn("period", F.lit(period)), target, "period", single_value=True)
         rows = spark.read.parquet(target).filter(F.col("period") == period).count()
         manifest.append((name, period, rows))
     listing = spark.createDataFrame(manifest, "table_name string, period int, row_count long")
-    truncate_append(listing, f"{folder.rstrip('/')}/manifest", "period")
+    truncate_append(listing, f"{folder.rstrip('/')}/manifest", "period", single_value=True)
     return listing
