@@ -179,16 +179,40 @@ def wasserstein(
         .groupBy("bucket", "value")
         .agg(F.sum("in_a").alias("n_a"), F.sum(1 - F.col("in_a")).alias("n_b"))
     )
+    inside = Window.partitionBy("bucket").orderBy("value")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     if cuts:
         counted = stage(counted, "distribution")
-    # One row per bucket.
+        counted = counted.join(F.broadcast(_bucket_bounds(counted)), "bucket")
+    else:
+        whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        counted = counted.withColumns(
+            {
+                "before_a": F.lit(0),
+                "before_b": F.lit(0),
+                "all_a": F.sum("n_a").over(whole),
+                "all_b": F.sum("n_b").over(whole),
+                "next_low": F.lit(None).cast("double"),
+            }
+        )
+    steps = counted.select(
+        ((F.col("before_a") + F.sum("n_a").over(upto)) / F.col("all_a")).alias("share_a"),
+        ((F.col("before_b") + F.sum("n_b").over(upto)) / F.col("all_b")).alias("share_b"),
+        (F.coalesce(F.lead("value").over(inside), F.col("next_low")) - F.col("value")).alias("step"),
+    )
+    area = F.abs(F.col("share_a") - F.col("share_b")) * F.col("step")
+    return steps.agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("distance"))
+
+
+def _bucket_bounds(counted: DataFrame) -> DataFrame:
+    """Rows before each bucket, rows in all, and the first value after it: one row per bucket."""
     buckets = counted.groupBy("bucket").agg(
         F.sum("n_a").alias("bucket_a"), F.sum("n_b").alias("bucket_b"), F.min("value").alias("low")
     )
     order = Window.orderBy("bucket")
     past = order.rowsBetween(Window.unboundedPreceding, -1)
     everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    bounds = buckets.select(
+    return buckets.select(
         "bucket",
         F.coalesce(F.sum("bucket_a").over(past), F.lit(0)).alias("before_a"),
         F.coalesce(F.sum("bucket_b").over(past), F.lit(0)).alias("before_b"),
@@ -196,15 +220,6 @@ def wasserstein(
         F.sum("bucket_b").over(everything).alias("all_b"),
         F.lead("low").over(order).alias("next_low"),
     )
-    inside = Window.partitionBy("bucket").orderBy("value")
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    steps = counted.join(F.broadcast(bounds), "bucket").select(
-        ((F.col("before_a") + F.sum("n_a").over(upto)) / F.col("all_a")).alias("share_a"),
-        ((F.col("before_b") + F.sum("n_b").over(upto)) / F.col("all_b")).alias("share_b"),
-        (F.coalesce(F.lead("value").over(inside), F.col("next_low")) - F.col("value")).alias("step"),
-    )
-    area = F.abs(F.col("share_a") - F.col("share_b")) * F.col("step")
-    return steps.agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("distance"))
 
 
 def compare_categorical(a: DataFrame, b: DataFrame, col_a: str, col_b: str) -> DataFrame:
