@@ -613,10 +613,10 @@ def bucket_drift(spark, sf):
 def percentile_to_value(spark, sf):
     yearly, placed = _placed(spark, sf)
     scored = scoring.score_percentiles(yearly, {f"p_{y}": m for y, m in zip(lifetime.YEARS, st.MODELS.income, strict=True)})
-    drift = value.bucket_drift(placed, "perc_prev", "perc_cur", "income_prev", "income_cur")
+    drift = value.bucket_drifts(placed, {"income_prev": ("perc_prev", "perc_cur", "income_prev", "income_cur")})
     pool = quantiles.rank_values(yearly, ["income_prev"])
     requests = {f"predicted_{y}": (f"p_{y}", "income_prev", y) for y in lifetime.YEARS}
-    return rounded(value.percentile_to_value(scored, "member_id", requests, pool, {"income_prev": drift}))
+    return rounded(value.percentile_to_value(scored, "member_id", requests, pool, drift))
 
 
 @query

@@ -21,7 +21,7 @@ from membervane.operators.schema import coerce_inputs, drop_existing, drop_like,
 from membervane.operators.rows import dedup_first
 from membervane.operators.scoring import score_churn, score_percentiles
 from membervane.operators.segments import assign_segment
-from membervane.operators.value import annualize, bucket_drift, percentile_to_value
+from membervane.operators.value import annualize, bucket_drifts, percentile_to_value
 from membervane.session import stage
 
 YEARS = (1, 2, 3)
@@ -83,15 +83,15 @@ def member_values(
     placed = quantile_rank(ranked, money)
 
     # Distributions come from all rows, predictions are made for one row per member.
-    drifts = {
-        f"{m}_prev": bucket_drift(placed, f"perc_{m}_prev", f"perc_{m}_cur", f"{m}_prev", f"{m}_cur")
-        for m in ("cost", "income")
+    series = {
+        f"{m}_prev": (f"perc_{m}_prev", f"perc_{m}_cur", f"{m}_prev", f"{m}_cur") for m in ("cost", "income")
     }
+    drifts = bucket_drifts(placed, series)
     requests = {
         f"predicted_{m}_{y}": (f"p_{m}_{y}", f"{m}_prev", y) for m in ("income", "cost") for y in YEARS
     }
     members = dedup_first(ranked.select(key, *[c for c in order if c != key], *predictions), [key], order)
-    pools = rank_values(ranked, list(drifts))
+    pools = rank_values(ranked, list(series))
     valued = members.join(percentile_to_value(members, key, requests, pools, drifts), key, "left")
 
     margins = {

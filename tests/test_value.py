@@ -45,7 +45,7 @@ def test_drift_and_money(spark, scored):
     for bucket_rows in (quantiles.SMALL_ROWS, 50):
         ranking = quantiles.rank_values(scored, ["prev"], bucket_rows=bucket_rows)
         money = value.percentile_to_value(
-            scored, "m", {"y1": ("p", "prev", 1), "y3": ("p", "prev", 3)}, ranking, {"prev": drift}
+            scored, "m", {"y1": ("p", "prev", 1), "y3": ("p", "prev", 3)}, ranking, drift.withColumn("series", F.lit("prev"))
         ).toPandas().merge(pdf[["m", "p"]], on="m")
         base = np.quantile(pdf.prev, money.p)
         nearest = np.array([np.abs(np.arange(101) / 100 - p).argmin() for p in money.p])
