@@ -61,8 +61,8 @@ def bucket_cuts(
 
 
 def constants(numbers: Sequence[float]) -> Column:
-    """A constant array of doubles."""
-    return F.expr("array(" + ", ".join(f"double('{float(x)!r}')" for x in numbers) + ")")
+    """A constant array of doubles, one node in the plan however long it is."""
+    return F.split(F.lit(",".join(repr(float(x)) for x in numbers)), ",").cast("array<double>")
 
 
 def with_buckets(
