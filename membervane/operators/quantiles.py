@@ -143,15 +143,8 @@ class Ranking:
         )
 
 
-def rank_values(
-    df: DataFrame,
-    columns: Sequence[str],
-    sizes: Mapping[str, int] | None = None,
-    bucket_rows: int = SMALL_ROWS,
-) -> Ranking:
-    """Reduce columns to their distinct values in range buckets."""
-    sizes = dict(sizes or count_values(df, columns))
-    cuts = bucket_cuts(df, columns, sizes, bucket_rows)
+def _bucketed(df: DataFrame, columns: Sequence[str], cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Values of all columns below each other: rows (series, bucket, value)."""
     buckets = {c: f"_bucket_{i}" for i, c in enumerate(columns)}
     wide = with_buckets(df.select(*[_present(c).alias(c) for c in columns]), cuts, buckets)
     entries = [
@@ -162,23 +155,37 @@ def rank_values(
         )
         for c in columns
     ]
-    counted = (
-        wide.select(F.inline(F.array(*entries)))
-        .filter(F.col("value").isNotNull())
-        .groupBy("series", "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    return wide.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
+
+
+def _counted(bucketed: DataFrame) -> DataFrame:
+    return bucketed.groupBy("series", "bucket", "value").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _collect_totals(rows: DataFrame, size: Column) -> dict[str, list[tuple[int, int, float | None]]]:
+    """Bucket numbers, rows and smallest values per series: at most MAX_BUCKETS per series."""
+    per_bucket = rows.groupBy("series", "bucket").agg(size.alias("rows"), F.min("value").alias("low"))
+    totals: dict[str, list[tuple[int, int, float | None]]] = {}
+    for row in sorted(per_bucket.collect(), key=lambda r: (r["series"], r["bucket"])):
+        totals.setdefault(row["series"], []).append((row["bucket"], row["rows"], row["low"]))
+    return totals
+
+
+def rank_values(
+    df: DataFrame,
+    columns: Sequence[str],
+    sizes: Mapping[str, int] | None = None,
+    bucket_rows: int = SMALL_ROWS,
+) -> Ranking:
+    """Reduce columns to their distinct values in range buckets."""
+    sizes = dict(sizes or count_values(df, columns))
+    cuts = bucket_cuts(df, columns, sizes, bucket_rows)
+    counted = _counted(_bucketed(df, columns, cuts))
     if not any(cuts.values()):
         # One bucket per column: its size is known, and nothing reads the values twice.
         return Ranking(counted, sizes, {c: [(0, sizes[c], None)] for c in columns if sizes[c]})
     values = stage(counted, "values")
-    totals: dict[str, list[tuple[int, int, float | None]]] = {c: [] for c in columns}
-    per_bucket = values.groupBy("series", "bucket").agg(
-        F.sum("copies").alias("rows"), F.min("value").alias("low")
-    )
-    for row in sorted(per_bucket.collect(), key=lambda r: (r["series"], r["bucket"])):
-        totals[row["series"]].append((row["bucket"], row["rows"], row["low"]))
-    return Ranking(values, sizes, totals)
+    return Ranking(values, sizes, _collect_totals(values, F.sum("copies")))
 
 
 def _interpolate(low: float, high: float, share: float) -> float:
@@ -222,13 +229,13 @@ def _quantiles(
         ).first()
         out.update({c: list(row[c]) for c in small})
     if large:
-        ranking = rank_values(df, large, {c: sizes[c] for c in large}, max(1, small_rows))
         positions = {c: [q * (sizes[c] - 1) for q in asked[c]] for c in large}
-        ranks = {
-            c: sorted({r for p in positions[c] for r in (math.floor(p), math.ceil(p))})
-            for c in large
-        }
-        found = _values_at(ranking, ranks)
+        found = _values_at(
+            df,
+            {c: sizes[c] for c in large},
+            {c: sorted({r for p in positions[c] for r in (math.floor(p), math.ceil(p))}) for c in large},
+            max(1, small_rows),
+        )
         for c in large:
             out[c] = [
                 _interpolate(found[c, math.floor(p)], found[c, math.ceil(p)], p - math.floor(p))
@@ -238,22 +245,38 @@ def _quantiles(
 
 
 def _values_at(
-    ranking: Ranking, ranks: Mapping[str, Sequence[int]]
+    df: DataFrame, sizes: Mapping[str, int], ranks: Mapping[str, Sequence[int]], bucket_rows: int
 ) -> dict[tuple[str, int], float]:
-    """Values at the given ranks, looking only into the buckets that hold them."""
-    wanted: list[tuple[str, int, int]] = []
+    """Values at the given ranks.
+
+    Rows are first only counted per bucket. Values are grouped and moved for the few buckets
+    that hold a wanted rank.
+    """
+    columns = list(sizes)
+    bucketed = _bucketed(df, columns, bucket_cuts(df, columns, sizes, bucket_rows))
+    ranking = Ranking(bucketed, dict(sizes), _collect_totals(bucketed, F.count(F.lit(1))))
+    wanted = []
     for series, positions in ranks.items():
         starts = ranking.starts(series)
         for rank in positions:
             bucket = ranking.totals[series][bisect_right(starts, rank) - 1][0]
             wanted.append((series, bucket, rank))
-    spark = ranking.values.sparkSession
-    requests = spark.createDataFrame(wanted, "series string, bucket int, rank long")
-    ranked = ranking.ranked({(s, b) for s, b, _ in wanted})
-    # Requests are two per asked fraction.
+    # Two requests per asked fraction at most.
+    requests = df.sparkSession.createDataFrame(wanted, "series string, bucket int, rank long")
+    held = bucketed.join(F.broadcast(requests.select("series", "bucket")), ["series", "bucket"], "left_semi")
+    ranking.values = _counted(held)
     hit = (F.col("rank") >= F.col("rank_start")) & (F.col("rank") < F.col("rank_end"))
-    rows = ranked.join(F.broadcast(requests), ["series", "bucket"]).filter(hit)
-    return {(r["series"], r["rank"]): r["value"] for r in rows.select("series", "rank", "value").collect()}
+    rows = (
+        ranking.ranked({(s, b) for s, b, _ in wanted})
+        .join(F.broadcast(requests), ["series", "bucket"])
+        .filter(hit)
+        .select("series", "rank", "value")
+        .collect()
+    )
+    found = {(r["series"], r["rank"]): r["value"] for r in rows}
+    if len(found) < len({(s, r) for s, _, r in wanted}):
+        raise RuntimeError("the values changed between two passes over them: stage the input first")
+    return found
 
 
 def quantile_cuts(df: DataFrame, col: str, fractions: Sequence[float]) -> list[float | None]:
