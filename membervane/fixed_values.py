@@ -185,3 +185,102 @@ ZEROED_COLUMNS = (
     "gasto_licencias_mva_13to24m",
     "gasto_licencias_excl_mva_7to12m",
 )
+
+# Columns of the value table that are dropped before scoring, and the one that is renamed.
+DROPPED_BEFORE_SCORING = (
+    "agencia_vn",
+    "agente_vn",
+    "clasif_morosidad",
+    "clasif_riesgo",
+    "costo_final_mva_1to6m",
+    "per",
+    "periodo_anual",
+    "periodo_ult_vig",
+    "rut",
+    "rut_titular",
+)
+RENAMED_BEFORE_SCORING = {"benef_adic": "costo_benef_adic"}
+
+# Categorical inputs of the value models.
+VALUE_CATEGORICAL_INPUTS = (
+    "region_gls",
+    "comuna_gls",
+    "sucursal_gls",
+    "centro_costo_gls",
+    "vigente",
+    "actividad",
+    "tipo_trab",
+    "tipo_transac",
+    "serie",
+    "tipo_plan",
+    "tipo_producto",
+    "detalle_producto",
+    "linea_plan_simplificada",
+    "tipo_trabajador",
+    "categ_simplificada",
+)
+
+# Columns the income, cost and churn models read; the three lists are equal as sets.
+VALUE_MODEL_COLUMNS = (
+    "comuna_gls",
+    "sucursal_gls",
+    "actividad",
+    "detalle_producto",
+    "region_gls",
+    "tipo_transac",
+    "tipo_trabajador",
+    "serie",
+    "vigente",
+    "tipo_plan",
+    "tipo_producto",
+    "fechaingreso",
+    "antiguedad",
+    "num_cargas",
+    "edad",
+    "num_empleadores",
+    "seg_muerte",
+    "cambio_plan",
+    "costo_final",
+    "precio_base",
+    "factor_riesgo",
+    "costo_total",
+    "costo_benef_adic",
+    "pagado",
+    "excesos",
+    "excedentes",
+    "gasto_ambulatorios",
+    "gasto_hospitalarios",
+    "gasto_hospitalarios_excl",
+    "gasto_ges",
+    "gasto_caec",
+    "gasto_pharma",
+    "recuperacion_gastos",
+    "iva_cotizaciones",
+    "iva_recuperado",
+    "gasto_licencias",
+    "gasto_licencias_excl",
+    "cie_complejo",
+    "prestacion_amb_compleja",
+    "renta_imponible",
+    "gasto_parto",
+)
+
+# Columns of the campaign deliverables: name in the joined table and name delivered. The segment
+# or the eligibility flag follows as the last column.
+CAMPAIGN_COLUMNS = {
+    "id_titular": "id_titular",
+    "sexo": "sexo",
+    "edad": "edad",
+    "antiguedad": "antiguedad",
+    "num_cargas": "num_cargas",
+    "comuna": "comuna",
+    "region_gls": "region_gls",
+    "clasif_riesgo": "clasif_riesgo",
+    "clasif_morosidad": "clasif_morosidad",
+    "prob_fuga": "prob_fuga",
+    "ltv_no_churn_predicted": "ltv_fuga0_predicted",
+    "churn_1": "prob_fuga_1y",
+    "costo_final": "costo_final",
+    "costo_total": "costo_total",
+    "predicted_margin_1": "ltv_predicted_1y",
+}

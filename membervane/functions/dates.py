@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +20,17 @@ def check_period(period: int | str) -> int:
     return int(text)
 
 
+def default_period(today: date) -> int:
+    """The period a job scores unless told otherwise: the month before today."""
+    last = today.replace(day=1) - timedelta(days=1)
+    return last.year * 100 + last.month
+
+
+def snapshot_name(token: str, period: int) -> str:
+    """Name of a period's snapshot, found again by token and by month tag."""
+    return f"{token}_{period}_{MONTH_TAGS[period % 100 - 1]}{period // 100 % 100:02d}"
+
+
 def valid_period(col: Column) -> Column:
     """True where the text is exactly six digits."""
     return F.coalesce(col.cast("string").rlike("^[0-9]{6}$"), F.lit(False))
@@ -32,31 +44,31 @@ def period_date(col: Column) -> Column:
     return F.when(is_month, F.make_date(F.floor(number / 100).cast("int"), month, F.lit(1)))
 
 
-def period_of(date: Column) -> Column:
+def period_of(day: Column) -> Column:
     """The ``YYYYMM`` int of a date."""
-    return (F.year(date) * 100 + F.month(date)).cast("int")
+    return (F.year(day) * 100 + F.month(day)).cast("int")
 
 
-def previous_month(date: Column) -> Column:
-    """First day of the month before ``date``."""
-    return F.trunc(F.add_months(date, -1), "MM")
+def previous_month(day: Column) -> Column:
+    """First day of the month before ``day``."""
+    return F.trunc(F.add_months(day, -1), "MM")
 
 
-def next_month(date: Column) -> Column:
-    """First day of the month after ``date``."""
-    return F.trunc(F.add_months(date, 1), "MM")
+def next_month(day: Column) -> Column:
+    """First day of the month after ``day``."""
+    return F.trunc(F.add_months(day, 1), "MM")
 
 
-def months_back(date: Column, as_of: Column) -> Column:
-    """Whole calendar months from ``date`` to ``as_of``, whatever the day of the month."""
-    months = (F.year(as_of) - F.year(date)) * 12 + F.month(as_of) - F.month(date)
+def months_back(day: Column, as_of: Column) -> Column:
+    """Whole calendar months from ``day`` to ``as_of``, whatever the day of the month."""
+    months = (F.year(as_of) - F.year(day)) * 12 + F.month(as_of) - F.month(day)
     return months.cast("int")
 
 
-def period_tag(date: Column) -> Column:
+def period_tag(day: Column) -> Column:
     """Short month tag with a two-digit year, such as ``ene24``."""
     names = F.array(*[F.lit(name) for name in MONTH_TAGS])
-    return F.concat(F.element_at(names, F.month(date)), F.date_format(date, "yy"))
+    return F.concat(F.element_at(names, F.month(day)), F.date_format(day, "yy"))
 
 
 _DIGITS = {"yyyy": "[0-9]{4}", "MM": "(0[1-9]|1[0-2])", "dd": "(0[1-9]|[12][0-9]|3[01])"}

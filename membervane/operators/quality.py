@@ -118,6 +118,29 @@ def _violation(kind: str, column: str, rule: Mapping[str, object], types: Mappin
     raise ValueError(f"unknown expectation {kind!r}")
 
 
+# Check names of the common JSON suite format, and what they are here.
+_SUITE_CHECKS = {
+    "expect_column_values_to_not_be_null": ("not_null", {}),
+    "expect_column_values_to_be_between": ("range", {"min_value": "min", "max_value": "max"}),
+    "expect_column_values_to_be_in_set": ("in_set", {"value_set": "values"}),
+    "expect_column_values_to_be_unique": ("unique", {}),
+    "expect_column_values_to_be_of_type": ("type", {"type_": "type"}),
+}
+
+
+def expectations_of(suite: Mapping[str, object]) -> list[dict[str, object]]:
+    """Expectations of a loaded JSON suite: ``{"expectations": [{"expectation_type", "kwargs"}]}``."""
+    out = []
+    for entry in suite["expectations"]:
+        if entry["expectation_type"] not in _SUITE_CHECKS:
+            raise ValueError(f"no check for {entry['expectation_type']}")
+        kind, options = _SUITE_CHECKS[entry["expectation_type"]]
+        kwargs = entry["kwargs"]
+        found = {ours: kwargs[theirs] for theirs, ours in options.items() if theirs in kwargs}
+        out.append({"expect": kind, "column": kwargs["column"], **found})
+    return out
+
+
 def validate(
     df: DataFrame, expectations: Sequence[Mapping[str, object]], failures_only: bool = False
 ) -> DataFrame:

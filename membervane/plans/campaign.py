@@ -8,12 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from membervane import fixed_values as fixed
 from membervane.fixed_values import DRIFT_ALARM, TOP_CHURN_QUANTILE, VALUE_BOUNDS
 from membervane.functions.flags import all_flags, eligible, within
+from membervane.functions.numeric import capped_ratio
 from membervane.operators.joins import attach_values
 from membervane.operators.quality import wasserstein
 from membervane.operators.quantiles import quantile_cuts
 from membervane.operators.rows import dedup_first
+from membervane.operators.schema import coerce_inputs, lower_columns, presence_report
 from membervane.operators.segments import deliverable, grid_cuts, grid_segments
 
 
@@ -30,6 +33,23 @@ class CampaignNames:
     lifetime: str = "ltv_no_churn_predicted"
 
 
+def shape_inputs(df: DataFrame, names: CampaignNames, order: Sequence[str]) -> DataFrame:
+    """One row per member, typed model inputs, and the capped income in currency units."""
+    df = dedup_first(lower_columns(df), [names.member], order)
+    income = capped_ratio(F.col("renta_imponible"), F.col("valor_uf"))
+    df = df.withColumn("renta_imponible_uf", income)
+    return coerce_inputs(
+        df,
+        [c for c in fixed.NUMERIC_INPUTS if c in df.columns],
+        [c for c in fixed.CATEGORICAL_INPUTS if c in df.columns],
+    )
+
+
+def input_report(df: DataFrame) -> DataFrame:
+    """Which of the churn model's 44 inputs are there, and how many of their values are filled."""
+    return presence_report(df, [*fixed.CATEGORICAL_INPUTS, *fixed.NUMERIC_INPUTS])
+
+
 def campaign_table(
     scored: DataFrame, values: DataFrame, names: CampaignNames, order: Sequence[str]
 ) -> DataFrame:
@@ -51,7 +71,10 @@ def eligibility(df: DataFrame, names: CampaignNames) -> DataFrame:
 
 
 def campaign(
-    flagged: DataFrame, names: CampaignNames, columns: Mapping[str, str], order: Sequence[str]
+    flagged: DataFrame,
+    names: CampaignNames,
+    columns: Mapping[str, str] = fixed.CAMPAIGN_COLUMNS,
+    order: Sequence[str] = ("id_titular",),
 ) -> dict[str, DataFrame]:
     """Two deliverables: eligible members with their segment, and everyone with the flag.
 

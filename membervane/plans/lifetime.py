@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from membervane import fixed_values as fixed
 from membervane.fixed_values import DISCOUNT_RATE, SEGMENT_LABELS
 from membervane.functions.numeric import (
     lifetime_value,
@@ -17,8 +18,15 @@ from membervane.functions.numeric import (
 )
 from membervane.functions.text import text_prefix
 from membervane.operators.quantiles import quantile_rank, rank_values
-from membervane.operators.schema import coerce_inputs, drop_existing, drop_like, rename_if
 from membervane.operators.rows import dedup_first
+from membervane.operators.schema import (
+    coerce_inputs,
+    drop_existing,
+    drop_like,
+    lower_columns,
+    rename_if,
+    rename_map,
+)
 from membervane.operators.scoring import score_churn, score_percentiles
 from membervane.operators.segments import assign_segment
 from membervane.operators.value import annualize, bucket_drifts, percentile_to_value
@@ -41,10 +49,16 @@ class ValueModels:
 
 
 def shape_inputs(
-    df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = ()
+    df: DataFrame,
+    numeric: Sequence[str] = (),
+    categorical: Sequence[str] = fixed.VALUE_CATEGORICAL_INPUTS,
 ) -> DataFrame:
-    """Simplified categories, no future or code columns, typed model inputs."""
-    df = rename_if(df, "categoria_gls", "categor__a_gls")
+    """Simplified categories, no future or code columns, typed model inputs that exist.
+
+    Window averages are numeric whether listed or not.
+    """
+    df = drop_existing(lower_columns(df), fixed.DROPPED_BEFORE_SCORING)
+    df = rename_map(rename_if(df, "categoria_gls", "categor__a_gls"), fixed.RENAMED_BEFORE_SCORING)
     for source, out in (
         ("categor__a_gls", "categ_simplificada"),
         ("linea_plan", "linea_plan_simplificada"),
@@ -54,7 +68,9 @@ def shape_inputs(
     df = drop_existing(
         df, ["categor__a_gls", "linea_plan", "contrato", "correlativo", "fecha_nacimiento", "sexo"]
     )
-    return coerce_inputs(drop_like(df, ["fut", "cod"]), numeric, categorical)
+    df = drop_like(df, ["fut", "cod"])
+    numbers = {c for c in df.columns if c in numeric or "mva_" in c}
+    return coerce_inputs(df, sorted(numbers), [c for c in categorical if c in df.columns])
 
 
 def score_members(df: DataFrame, models: ValueModels) -> DataFrame:

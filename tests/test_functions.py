@@ -57,6 +57,13 @@ def test_period_argument():
             dates.check_period(bad)
 
 
+def test_default_period_and_names():
+    assert dates.default_period(dt.date(2024, 1, 31)) == 202312
+    assert dates.default_period(dt.date(2024, 3, 1)) == 202402
+    assert dates.snapshot_name("ltv", 202401) == "ltv_202401_ene24"
+    assert dates.snapshot_name("ges", 200912) == "ges_200912_dic09"
+
+
 def test_valid_period(spark):
     got = one(spark, "t string", [("202401",), ("20241",), ("20240a",), (None,)], dates.valid_period(F.col("t")))
     assert [g[0] for g in got] == [True, False, False, False]

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from membervane import fixed_values as fixed
 from membervane.operators.segments import assign_segment
 from membervane.plans import campaign, lifetime, preparation
 
@@ -78,6 +79,34 @@ def test_value_inputs(spark):
     assert got.first().asDict() == {"x": 7.0, "id": "2", "categ_simplificada": "AB ", "linea_plan_simplificada": "L"}
 
 
+def test_value_inputs_with_defaults(spark):
+    df = spark.createDataFrame([("1", "2.5", "x", 3, 4)], "RUT string, Costos_mva_1to6m string, serie string, vigente int, benef_adic int")
+    got = lifetime.shape_inputs(df)
+    assert got.first().asDict() == {"costos_mva_1to6m": 2.5, "serie": "x", "vigente": "3", "costo_benef_adic": 4}
+
+
+def test_campaign_inputs(spark):
+    df = spark.createDataFrame([(1, 2, 900.0, 10.0, "7", 1), (1, 1, 100.0, 10.0, "x", 2), (2, 1, None, 0.0, None, None)],
+                               "ID_TITULAR int, i int, renta_imponible double, valor_uf double, edad string, sexo int")
+    shaped = campaign.shape_inputs(df, campaign.CampaignNames(), ["i"]).orderBy("id_titular")
+    got = [(r["id_titular"], r["renta_imponible_uf"], r["edad"], r["sexo"]) for r in shaped.collect()]
+    assert got == [(1, 10.0, None, "2"), (2, None, None, None)]
+    report = {r["column"]: (r["present"], r["filled"]) for r in campaign.input_report(shaped).collect()}
+    assert len(report) == 44 and report["sexo"] == (True, 1) and report["comuna"] == (False, 0)
+
+
+def test_deliverables_with_default_columns(spark):
+    names = ", ".join(f"{c} {'int' if c == 'id_titular' else 'double'}" for c in fixed.CAMPAIGN_COLUMNS)
+    width = len(fixed.CAMPAIGN_COLUMNS)
+    rows = [(i, *[float(i + 1)] * (width - 1), int(i % 2)) for i in range(20)]
+    flagged = spark.createDataFrame(rows, names + ", meets_filters int")
+    out = campaign.campaign(flagged, campaign.CampaignNames())
+    assert len(out["segments"].columns) == len(out["everyone"].columns) == 16
+    assert out["segments"].columns[-1] == "segment" and out["everyone"].columns[-1] == "meets_filters"
+    row = out["everyone"].filter("id_titular = 9").first()
+    assert row["ltv_predicted_1y"] == pytest.approx(9.0) and row["prob_fuga_1y"] == 10.0
+
+
 MODELS = lifetime.ValueModels(
     income=[(0.1, {"f": 1.0})] * 3,
     cost=[(-0.1, {"f": 1.0})] * 3,

@@ -56,6 +56,20 @@ def test_validate(df):
         quality.validate(df, [{"expect": "nonsense", "column": "k"}])
 
 
+def test_suite_format(df):
+    suite = {"expectations": [
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "v"}},
+        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "v", "min_value": 2}},
+        {"expectation_type": "expect_column_values_to_be_in_set", "kwargs": {"column": "s", "value_set": ["a", "b"]}},
+        {"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "k"}},
+        {"expectation_type": "expect_column_values_to_be_of_type", "kwargs": {"column": "k", "type_": "int"}},
+    ]}
+    got = {(r["expectation"], r["violations"]) for r in quality.validate(df, quality.expectations_of(suite)).collect()}
+    assert got == {("not_null", 1), ("range", 1), ("in_set", 0), ("unique", 1), ("type", 0)}
+    with pytest.raises(ValueError):
+        quality.expectations_of({"expectations": [{"expectation_type": "other", "kwargs": {}}]})
+
+
 def test_comparisons(spark, df):
     other = spark.createDataFrame([("b",), ("c",), (None,), (None,)], "t string")
     got = {r["category"]: (r["share_a"], r["share_b"]) for r in quality.compare_categorical(df, other, "s", "t").collect()}
