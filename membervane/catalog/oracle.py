@@ -384,7 +384,7 @@ FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1""",
     "geo_chain": """SELECT member_id, comuna_cod, comuna, cod_region, gls_web_region, norte_centro_sur, avg_income FROM located""",
     "join_scores": """SELECT o.member_id, o.order_id, round((o.order_id % 100) / 100.0::DOUBLE, 2) AS score, m.balance
 FROM (SELECT * FROM order_month QUALIFY row_number() OVER (PARTITION BY member_id ORDER BY order_id) = 1) o
-LEFT JOIN member m ON m.member_id = o.member_id AND m.member_id % 5 <> 0""",
+LEFT JOIN member m ON m.member_id = o.member_id AND m.balance >= 0""",
     "semi_members": """SELECT order_id, member_id, period FROM order_month
 WHERE member_id IN (SELECT member_id FROM member WHERE balance > 5000)""",
     "distinct_members": "SELECT count(DISTINCT member_id) AS members FROM order_month",

@@ -319,7 +319,7 @@ def join_scores(spark, sf):
     """Scores per order, one row per member kept, values attached."""
     scored = st.order_month(spark, sf).withColumn("score", F.round((F.col("order_id") % 100) / 100, 2))
     single = rows.dedup_first(scored.select("member_id", "order_id", "score"), ["member_id"], ["order_id"])
-    values = st.member(spark, sf).filter(F.col("member_id") % 5 != 0).withColumn("score", F.lit(-1.0))
+    values = rows.nonnegative(st.member(spark, sf), "balance").withColumn("score", F.lit(-1.0))
     return joins.attach_values(single, values.select("member_id", "balance", "score"), "member_id")
 
 
