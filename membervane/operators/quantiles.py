@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from membervane.session import stage
 
-SMALL_ROWS = 500_000
+SMALL_ROWS = 100_000
 MAX_BUCKETS = 4096
 
 
