@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, difference
+from membervane.catalog.oracle import all_oracles
+from membervane.catalog.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="sample tables are not there")
@@ -25,13 +27,14 @@ def db():
 
 
 def test_every_query_has_a_counterpart():
-    assert entry.queries().keys() - entry.oracle_sql().keys() == ROWS_ONLY
+    assert all_queries().keys() - all_oracles().keys() == ROWS_ONLY
     assert entry.oracle_sql().keys() <= entry.queries().keys()
+    assert all_queries().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", all_queries())
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = all_queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert bad not in plan
@@ -39,7 +42,7 @@ def test_query(spark, db, name):
     if name in ROWS_ONLY:
         assert len(rows)
     else:
-        assert difference(rows, db.sql(entry.oracle_sql()[name]).df()) is None
+        assert difference(rows, db.sql(all_oracles()[name]).df()) is None
 
 
 def test_entry(spark):
