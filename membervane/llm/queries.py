@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import mixing
+from membervane.llm import mixing, simhash
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -28,6 +28,12 @@ def llm_queries() -> dict[str, Query]:
     return dict(_registry)
 
 
+@query
+def op6_simhash(spark, sf):
+    found = simhash.near_duplicates(read(spark, sf, "documents"), shingle=3, radius=3)
+    return found.select("doc_id", simhash.as_hex(found.fingerprint).alias("fingerprint"), "component_id")
+
+
 @query
 def op8_pareto_mix(spark, sf):
     mixed = mixing.mix(read(spark, sf, "documents"), weights=(5, 2, 1), most=3)
