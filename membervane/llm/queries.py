@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import mixing, simhash
+from membervane.llm import language, mixing, simhash
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -38,3 +38,9 @@ def op6_simhash(spark, sf):
 def op8_pareto_mix(spark, sf):
     mixed = mixing.mix(read(spark, sf, "documents"), weights=(5, 2, 1), most=3)
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+@query
+def op9_language(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
