@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import language, mixing, simhash
+from membervane.llm import digests, language, mixing, simhash
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -28,6 +28,11 @@ def llm_queries() -> dict[str, Query]:
     return dict(_registry)
 
 
+@query
+def op3_improbable_features(spark, sf):
+    return digests.compare_with_next(read(spark, sf, "documents"))
+
+
 @query
 def op6_simhash(spark, sf):
     found = simhash.near_duplicates(read(spark, sf, "documents"), shingle=3, radius=3)
