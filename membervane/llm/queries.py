@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import digests, language, mixing, simhash
+from membervane.llm import digests, language, linealign, mixing, simhash
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -33,6 +33,13 @@ def op3_improbable_features(spark, sf):
     return digests.compare_with_next(read(spark, sf, "documents"))
 
 
+@query
+def op4_line_alignment(spark, sf):
+    """What each document keeps: lines removed, and length and checksum of the text that stays."""
+    docs = linealign.dedup_lines(read(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "lines_removed", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query
 def op6_simhash(spark, sf):
     found = simhash.near_duplicates(read(spark, sf, "documents"), shingle=3, radius=3)
