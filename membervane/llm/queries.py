@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import digests, language, linealign, mixing, simhash
+from membervane.llm import chunks, digests, language, linealign, mixing, simhash
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -40,6 +40,12 @@ def op4_line_alignment(spark, sf):
     return docs.select("doc_id", "lines_removed", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+@query
+def op5_chunk_dedup(spark, sf):
+    """Every span of a document that was seen before, in bytes, and the document that holds it first."""
+    return chunks.repeated_spans(read(spark, sf, "documents"))
+
+
 @query
 def op6_simhash(spark, sf):
     found = simhash.near_duplicates(read(spark, sf, "documents"), shingle=3, radius=3)
