@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import chunks, digests, language, linealign, mixing, simhash
+from membervane.llm import chunks, digests, language, linealign, mixing, pieces, simhash, tokencount
 from membervane.llm.common import read
 from membervane.session import tune
 
+#: Public vocabularies that the queries use; the operators take any path.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+TOKEN_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
 
@@ -28,6 +32,12 @@ def llm_queries() -> dict[str, Query]:
     return dict(_registry)
 
 
+@query
+def op2_token_counts(spark, sf):
+    """Tokens of every document, counted in flat token streams without an index."""
+    return tokencount.count_documents(read(spark, sf, "documents"), TOKEN_RANKS)
+
+
 @query
 def op3_improbable_features(spark, sf):
     return digests.compare_with_next(read(spark, sf, "documents"))
@@ -52,6 +62,19 @@ def op6_simhash(spark, sf):
     return found.select("doc_id", simhash.as_hex(found.fingerprint).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_sentencepiece(spark, sf):
+    """Every text encoded and decoded again."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    done = pieces.decode(pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    return done.select(
+        "doc_id",
+        (F.length("ids") / 2).cast("long").alias("n_tokens"),
+        F.md5("ids").alias("ids_md5"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 @query
 def op8_pareto_mix(spark, sf):
     mixed = mixing.mix(read(spark, sf, "documents"), weights=(5, 2, 1), most=3)
