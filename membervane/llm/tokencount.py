@@ -66,7 +66,7 @@ def count_tokens(blocks: DataFrame, separator: int, width: int = 2) -> DataFrame
     schema = f"stream {kinds['stream']}, block {kinds['block']}, n long, ends array<long>"
     found = staged(found.mapInPandas(run, schema), "separators")
     earlier = Window.partitionBy("stream").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = found.select("stream", "block", "n", F.size("ends").alias("k"), F.element_at("ends", -1).alias("last"))
+    sums = found.select("stream", "block", "n", F.size("ends").alias("k"), F.get("ends", F.size("ends") - 1).alias("last"))
     sums = sums.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     sums = sums.withColumns(
         {
@@ -77,7 +77,7 @@ def count_tokens(blocks: DataFrame, separator: int, width: int = 2) -> DataFrame
     sums = staged(sums, "prefix-scan")
     ends = found.select("stream", "block", "ends").join(sums.drop("n", "k", "last"), ["stream", "block"])
     whole = ends.select("stream", "base", "before", "done", "ends", F.posexplode("ends").alias("at", "end"))
-    start = F.when(F.col("at") == 0, F.col("before")).otherwise(F.col("base") + F.element_at("ends", F.greatest(F.lit(1), F.col("at")))) + 1
+    start = F.when(F.col("at") == 0, F.col("before")).otherwise(F.col("base") + F.get("ends", F.col("at") - 1)) + 1
     whole = whole.select("stream", (F.col("done") + F.col("at")).alias("ordinal"), start.alias("start"), (F.col("base") + F.col("end") - start).alias("n_tokens"))
     last = F.coalesce(F.max(F.when(F.col("k") > 0, F.col("base") + F.col("last"))), F.lit(-1))
     rest = sums.groupBy("stream").agg(F.sum("k").alias("ordinal"), (last + 1).alias("start"), (F.sum("n") - last - 1).alias("n_tokens"))
