@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import chunks, digests, language, linealign, mixing, pieces, simhash, tokencount
+from membervane.llm import chunks, digests, language, linealign, mixing, pieces, simhash, templates, tokencount
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -85,3 +85,9 @@ def op8_pareto_mix(spark, sf):
 def op9_language(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text", "lang")
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op10_templates(spark, sf):
+    pages = templates.extract(read(spark, sf, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
