@@ -18,6 +18,7 @@ from membervane.operators.rows import with_index
 
 #: The uniform number of a document: so many hexadecimal digits of a digest of its id.
 DIGITS = 13
+RESULT = ("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
 def uniform(doc_id: Column, salt: str) -> Column:
@@ -55,11 +56,13 @@ def mix(
     most: int = 3,
     merit: Column | None = None,
     salt: str = "mix",
+    carry: bool = False,
 ) -> DataFrame:
     """How many copies of each document the mix takes.
 
     ``docs`` has ``doc_id``, ``text`` and ``source``; the result has one row per row of it: ``doc_id,
-    source, size, source_size, target, copies, taken``. ``merit`` (default 1 for all) makes the
+    source, size, source_size, target, copies, taken``, and with ``carry`` the other columns of ``docs`` that have no such name and no leading underscore (the decisions only
+    need a small table by source, so texts are not shuffled for that). ``merit`` (default 1 for all) makes the
     inclusion probabilities unequal inside a source: expected copies are in proportion to it.
 
     The sample of a source has a fixed size in words: ranks are taken while their words fit, and the
@@ -72,12 +75,10 @@ def mix(
     """
     merit = F.lit(1.0) if merit is None else merit.cast("double")
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
-    docs = staged(
-        docs.select(
-            "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), merit.alias("_merit")
-        ).withColumn("_key", key),
-        "mix-sizes",
-    )
+    extra = [c for c in docs.columns if c not in RESULT and not c.startswith("_")] if carry else []
+    full = docs.withColumns({"size": word_count(F.col("text")), "_merit": merit}).withColumn("source", F.col("source").cast("string"))
+    full = full.select("doc_id", "source", "size", "_merit", *extra).withColumn("_key", key)
+    docs = staged(full.select("doc_id", "source", "size", "_merit", "_key"), "mix-sizes")
     sources = docs.groupBy("_key").agg(
         F.first("source").alias("source"), F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("_merit")).alias("_worth")
     )
@@ -89,10 +90,14 @@ def mix(
     expected = F.least(F.lit(float(most)), F.greatest(F.lit(0.0), expected))
     share = expected - F.floor(expected)
     u = uniform(F.col("doc_id"), salt)
-    shares = docs.join(sources.drop("source"), "_key").withColumns({"_whole": F.floor(expected), "_share": share})
     rank = (u / (1 - u)) / (F.col("_share") / (1 - F.col("_share")))
-    shares = shares.withColumn("_rank", F.when((F.col("_share") > 0) & (F.col("size") > 0), rank))
-    shares = shares.withColumn("_id", F.coalesce("doc_id", F.lit(-(2**63))))
+
+    def shared(rows: DataFrame) -> DataFrame:
+        rows = rows.join(sources.drop("source"), "_key").withColumns({"_whole": F.floor(expected), "_share": share})
+        rows = rows.withColumn("_rank", F.when((F.col("_share") > 0) & (F.col("size") > 0), rank))
+        return rows.withColumn("_id", F.coalesce("doc_id", F.lit(-(2**63))))
+
+    shares = shared(docs)
 
     missing = shares.groupBy("_key").agg((F.first("target") - F.sum(F.col("_whole") * F.col("size"))).alias("_missing"))
     missing = staged(missing, "mix-missing")
@@ -124,10 +129,5 @@ def mix(
     cuts = staged(cuts.join(last, "_key", "left").select("_key", "_cut", "_last"), "mix-choice")
     chosen = (place <= F.col("_cut")) | ((F.col("_last._rank") == F.col("_rank")) & (F.col("_last._id") == F.col("_id")))
     copies = F.col("_whole") + F.when(F.coalesce(chosen, F.lit(False)), 1).otherwise(0)
-    return (
-        shares.join(cuts, "_key", "left")
-        .withColumn("copies", copies)
-        .select(
-            "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-        )
-    )
+    decided = (shared(full) if carry else shares).join(cuts, "_key", "left").withColumn("copies", copies)
+    return decided.withColumn("taken", F.col("copies") * F.col("size")).select(*RESULT, *extra)

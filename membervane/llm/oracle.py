@@ -49,6 +49,20 @@ WITH d AS (
 SELECT doc_id, size, source_size, ROUND(target, 6) AS target, taken::BIGINT AS taken FROM x
 """
 
+OP1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, o.vec_id, list_inner_product(q.vector, o.vector)::BIGINT AS score
+  FROM v q JOIN v o ON q.vec_id % 20 = 0 AND q.vec_id <> o.vec_id
+), r AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_pareto_mix": OP8}
+    return {"op1_mtree": OP1, "op8_pareto_mix": OP8}

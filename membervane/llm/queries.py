@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import chunks, digests, language, linealign, mixing, pieces, simhash, templates, tokencount
+from membervane.llm import chunks, digests, language, linealign, mixing, mtree, pieces, simhash, templates, tokencount
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -32,6 +32,13 @@ def llm_queries() -> dict[str, Query]:
     return dict(_registry)
 
 
+@query
+def op1_mtree(spark, sf):
+    """The 20 highest integer inner products of every twentieth vector."""
+    rows = read(spark, sf, "embeddings")
+    return mtree.top_k(rows.select("vec_id", mtree.as_integers(F.col("embedding")).alias("vector")), every=20, k=20)
+
+
 @query
 def op2_token_counts(spark, sf):
     """Tokens of every document, counted in flat token streams without an index."""
