@@ -15,8 +15,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from membervane.llm.common import staged
+from membervane.llm.common import staged, with_column
 
 #: Bits of the gear hash; as each byte shifts it by one, it depends on so many last bytes.
 GEAR_BITS = 16
@@ -125,7 +126,7 @@ def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     listed = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("_spans"))
     names = [c for c in docs.columns if c != "bytes_removed"]
     joined = docs.select(*names).join(listed, "doc_id", "left").select(*names, "_spans")
-    schema = docs.select(*names).withColumn("bytes_removed", F.lit(0)).schema
+    schema = with_column(docs.select(*names), "bytes_removed", T.IntegerType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from membervane.session import scratch_path
 
@@ -25,3 +26,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    """The schema of ``df`` with one more column, all of them nullable: for frames that Python functions return."""
+    fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
+    return T.StructType([*fields, T.StructField(name, kind, True)])

@@ -16,6 +16,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from membervane.llm.common import with_column
 
 #: n-grams are told apart by so many bits of a multiplicative hash.
 BITS = 20
@@ -163,5 +166,6 @@ def identify(docs: DataFrame, per_language: int = 150, landmarks: int = 160, rid
             batch["lang_pred"], batch["score"] = lang, score
             yield batch
 
-    found = kept.mapInPandas(run, kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema)
+    schema = with_column(kept, "lang_pred", T.StringType()).add("score", T.DoubleType())
+    found = kept.mapInPandas(run, schema)
     return found.withColumn("held_out", held_out(F.col("doc_id")))

@@ -18,8 +18,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from membervane.llm.common import staged
+from membervane.llm.common import staged, with_column
 
 #: Lines emitted at once.
 ROWS = 200_000
@@ -149,7 +150,7 @@ def dedup_lines(docs: DataFrame, rare_documents: int = 20, long_words: int = 8)
     shared = shared.groupBy("doc_id").agg(F.collect_list(found).alias("_shared"))
     names = [c for c in docs.columns if c != "lines_removed"]
     joined = docs.select(*names).join(shared, "doc_id", "left").select(*names, "_shared")
-    schema = docs.select(*names).withColumn("lines_removed", F.lit(0)).schema
+    schema = with_column(docs.select(*names), "lines_removed", T.IntegerType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -20,13 +20,15 @@ import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from membervane.llm.common import with_column
 
 #: The sign that stands for a blank.
 BLANK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words of one length that advance together; words whose ids are kept; a word is searched for safe cuts from this length.
-TOGETHER, KEPT, LONG = 20_000, 1_000_000, 24
+TOGETHER, KEPT, LONG = 20_000, 400_000, 24
 #: Bits of the table of first bits of hashes, and of the table of verdicts on pairs.
 FILTER, PAIRS = 20, 21
 NEVER = np.iinfo(np.int64).max
@@ -243,7 +245,7 @@ def load(model: bytes) -> Pieces:
     return _loaded[key]
 
 
-def _mapped(docs: DataFrame, model_file: str, out: str, example, of) -> DataFrame:
+def _mapped(docs: DataFrame, model_file: str, out: str, kind: T.DataType, of) -> DataFrame:
     names = [c for c in docs.columns if c != out]
     model = docs.sparkSession.sparkContext.broadcast(Path(model_file).read_bytes())
 
@@ -252,8 +254,9 @@ def _mapped(docs: DataFrame, model_file: str, out: str, example, of) -> DataFram
         for batch in batches:
             batch[out] = of(pieces, batch)
             yield batch
+        pieces.cache = {}  # the process may go on to other work
 
-    return docs.select(*names).mapInPandas(run, docs.select(*names).withColumn(out, example).schema)
+    return docs.select(*names).mapInPandas(run, with_column(docs.select(*names), out, kind))
 
 
 def encode(docs: DataFrame, model_file: str) -> DataFrame:
@@ -270,7 +273,7 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
             found += [None if t is None else p for t, p in zip(part, pieces.encode([t or "" for t in part]))]
         return found
 
-    return _mapped(docs, model_file, "ids", F.lit(b""), ids)
+    return _mapped(docs, model_file, "ids", T.BinaryType(), ids)
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
@@ -283,7 +286,7 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     def texts(pieces: Pieces, batch: pd.DataFrame) -> list:
         return [None if p is None else pieces.decode(p) for p in batch["ids"]]
 
-    return _mapped(encoded, model_file, "decoded", F.lit(""), texts)
+    return _mapped(encoded, model_file, "decoded", T.StringType(), texts)
 
 
 def piece_count(model_file: str) -> int:

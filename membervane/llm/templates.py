@@ -2,7 +2,7 @@
 
 Tokens are tags and text nodes, each with the path it stands in. Tokens that occur equally often in
 every page of a host (equal occurrence vectors) form an equivalence class; a class with enough
-pages whose tokens nest in one slot of another class is valid, and the nested valid classes are the host's template. Text
+pages is valid, split by the class in whose slots its tokens nest, and the nested valid classes are the host's template. Text
 that belongs to it is boilerplate, what remains fills the slots, and the slots of the article are the main text.
 
 An occurrence vector is kept as a sum of hashes of (page, count), so it is aggregated like any sum: no page set
@@ -267,8 +267,8 @@ def tokens_of(pages: DataFrame) -> DataFrame:
 def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
     """``host, class, parent_class, pages, tokens, constants``: the nested valid classes of every host.
 
-    ``constants`` are the text tokens of a class. A class is valid if it has a tag, occurs in at least ``share`` of the
-    host's pages, and all its tokens stand in its own tags or in the tags of one other class. Hosts with fewer
+    ``constants`` are the text tokens of a class. A class is valid if a tag has its vector and it occurs in at least ``share`` of the
+    host's pages; its tokens are told apart by the class in whose tags they stand (``parent_class``, null for their own). Hosts with fewer
     than ``least_pages`` pages, or whose pages mostly share their longest block (copies of one text), have no template.
     """
     tokens = tokens_of(pages)
@@ -290,19 +290,15 @@ def _classes(hosts: DataFrame, grouped: DataFrame, share: float) -> DataFrame:
     frequent = grouped.where("token >= 0").join(hosts, "host").where(F.col("pages") >= share * F.col("host_pages"))
     tags = frequent.where("is_tag").select("host", F.col("token").alias("parent"), F.col("vector").alias("parent_vector"))
     nested = frequent.join(tags, ["host", "parent"], "left")
-    outside = F.when(F.col("parent_vector") != F.col("vector"), F.col("parent_vector"))
-    classes = nested.groupBy("host", "vector").agg(
+    slot = F.when(F.col("parent_vector") != F.col("vector"), F.col("parent_vector"))
+    own = tags.select("host", F.col("parent_vector").alias("vector")).distinct()
+    nested = nested.withColumn("parent_class", slot).join(own, ["host", "vector"], "left_semi")
+    classes = nested.groupBy("host", F.col("vector").alias("class"), "parent_class").agg(
         F.max("pages").alias("pages"),
         F.count(F.lit(1)).alias("tokens"),
-        F.max("is_tag").alias("has_tag"),
-        F.min(outside).alias("first_parent"),
-        F.max(outside).alias("last_parent"),
         F.collect_list(F.when(~F.col("is_tag"), F.col("token"))).alias("constants"),
     )
-    one_slot = F.coalesce(F.col("first_parent") == F.col("last_parent"), F.lit(True))
-    return classes.where(F.col("has_tag") & one_slot).select(
-        "host", F.col("vector").alias("class"), F.col("first_parent").alias("parent_class"), "pages", "tokens", "constants"
-    )
+    return classes.select("host", "class", "parent_class", "pages", "tokens", "constants")
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
