@@ -52,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every text, and the text that they spell."""
-    done = pieces.decode(pieces.encode(docs.select(*COLUMNS), PIECE_MODEL), PIECE_MODEL)
+    done = pieces.encode_and_decode(docs.select(*COLUMNS), PIECE_MODEL)
     return done.select("doc_id", "lang", "source", "ids", (F.length("ids") / 2).cast("long").alias("n_tokens"), F.col("decoded").alias("text"))
 
 

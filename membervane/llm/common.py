@@ -28,7 +28,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def nullable(df: DataFrame) -> T.StructType:
+    """The schema of ``df`` with all columns nullable: for frames that Python functions return."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+
+
 def with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    """The schema of ``df`` with one more column, all of them nullable: for frames that Python functions return."""
-    fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
-    return T.StructType([*fields, T.StructField(name, kind, True)])
+    """That schema with one more column."""
+    return nullable(df).add(name, kind)

@@ -22,13 +22,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from membervane.llm.common import with_column
+from membervane.llm.common import nullable
 
 #: The sign that stands for a blank.
 BLANK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words of one length that advance together; words whose ids are kept; a word is searched for safe cuts from this length.
-TOGETHER, KEPT, LONG = 20_000, 400_000, 24
+TOGETHER, KEPT, LONG = 20_000, 250_000, 24
 #: Bits of the table of first bits of hashes, and of the table of verdicts on pairs.
 FILTER, PAIRS = 20, 21
 NEVER = np.iinfo(np.int64).max
@@ -245,18 +245,37 @@ def load(model: bytes) -> Pieces:
     return _loaded[key]
 
 
-def _mapped(docs: DataFrame, model_file: str, out: str, kind: T.DataType, of) -> DataFrame:
-    names = [c for c in docs.columns if c != out]
+def _ids(pieces: Pieces, batch: pd.DataFrame) -> list:
+    texts, found = batch["text"].tolist(), []
+    for at in range(0, len(texts), 500):
+        part = texts[at : at + 500]
+        found += [None if t is None else p for t, p in zip(part, pieces.encode([t or "" for t in part]))]
+    return found
+
+
+def _texts(pieces: Pieces, batch: pd.DataFrame) -> list:
+    return [None if p is None else pieces.decode(p) for p in batch["ids"]]
+
+
+_OUTPUTS = {"ids": (T.BinaryType(), _ids), "decoded": (T.StringType(), _texts)}
+
+
+def _mapped(docs: DataFrame, model_file: str, *outputs: str) -> DataFrame:
+    kept = docs.select(*[c for c in docs.columns if c not in outputs])
     model = docs.sparkSession.sparkContext.broadcast(Path(model_file).read_bytes())
+    schema = nullable(kept)
+    for name in outputs:
+        schema = schema.add(name, _OUTPUTS[name][0])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = load(model.value)
         for batch in batches:
-            batch[out] = of(pieces, batch)
+            for name in outputs:
+                batch[name] = _OUTPUTS[name][1](pieces, batch)
             yield batch
         pieces.cache = {}  # the process may go on to other work
 
-    return docs.select(*names).mapInPandas(run, with_column(docs.select(*names), out, kind))
+    return kept.mapInPandas(run, schema)
 
 
 def encode(docs: DataFrame, model_file: str) -> DataFrame:
@@ -265,15 +284,7 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
     Null texts have null ids, empty texts none (an empty value). All other columns stay; one that is named ``ids`` is replaced. Repeated
     rows get equal results, an empty table an empty one. The model file is read on the driver and broadcast.
     """
-
-    def ids(pieces: Pieces, batch: pd.DataFrame) -> list:
-        texts, found = batch["text"].tolist(), []
-        for at in range(0, len(texts), 500):
-            part = texts[at : at + 500]
-            found += [None if t is None else p for t, p in zip(part, pieces.encode([t or "" for t in part]))]
-        return found
-
-    return _mapped(docs, model_file, "ids", T.BinaryType(), ids)
+    return _mapped(docs, model_file, "ids")
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
@@ -282,12 +293,10 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     It equals the text that was encoded, unless that held the sign for a blank (U+2581), which decodes to a blank. Null
     ids decode to null.
     """
+    return _mapped(encoded, model_file, "decoded")
 
-    def texts(pieces: Pieces, batch: pd.DataFrame) -> list:
-        return [None if p is None else pieces.decode(p) for p in batch["ids"]]
-
-    return _mapped(encoded, model_file, "decoded", T.StringType(), texts)
 
+def encode_and_decode(docs: DataFrame, model_file: str) -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``, in one pass through one Python process per task."""
+    return _mapped(docs, model_file, "ids", "decoded")
 
-def piece_count(model_file: str) -> int:
-    return sentencepiece.SentencePieceProcessor(model_file=model_file).get_piece_size()

@@ -73,7 +73,7 @@ def op6_simhash(spark, sf):
 def op7_sentencepiece(spark, sf):
     """Every text encoded and decoded again."""
     docs = read(spark, sf, "documents").select("doc_id", "text")
-    done = pieces.decode(pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    done = pieces.encode_and_decode(docs, PIECE_MODEL)
     return done.select(
         "doc_id",
         (F.length("ids") / 2).cast("long").alias("n_tokens"),

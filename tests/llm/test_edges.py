@@ -33,11 +33,12 @@ OPERATORS = {
     "chunks": lambda d: chunks.dedup_chunks(d),
     "simhash": lambda d: simhash.near_duplicates(d),
     "pieces": lambda d: pieces.decode(pieces.encode(d, PIECE_MODEL), PIECE_MODEL),
+    "pieces at once": lambda d: pieces.encode_and_decode(d, PIECE_MODEL),
     "mix": lambda d: mixing.mix(d),
     "mix and carry": lambda d: mixing.mix(d, carry=True),
     "language": lambda d: language.identify(d),
 }
-ROW_FOR_ROW = {"tokens", "lines", "chunks", "simhash", "pieces", "mix", "mix and carry", "language"}
+ROW_FOR_ROW = {"tokens", "lines", "chunks", "simhash", "pieces", "pieces at once", "mix", "mix and carry", "language"}
 CLASH = "size copies taken target score held_out lang_pred ids decoded fingerprint lines_removed bytes_removed start words stream block rank at".split()
 
 
