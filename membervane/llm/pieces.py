@@ -29,6 +29,8 @@ BLANK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words of one length that advance together; words whose ids are kept; a word is searched for safe cuts from this length.
 TOGETHER, KEPT, LONG = 20_000, 250_000, 24
+#: Fewer than four words of this length or more advance one by one.
+ALONE = 64
 #: Bits of the table of first bits of hashes, and of the table of verdicts on pairs.
 FILTER, PAIRS = 20, 21
 NEVER = np.iinfo(np.int64).max
@@ -84,6 +86,7 @@ class Pieces:
         self.blob_at = np.cumsum(self.blob_size) - self.blob_size
         self.kind = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[str, bytes] = {}
+        self.id_of, self.verdicts = ids, {}
 
     @staticmethod
     def _hash(name: str) -> np.uint64:
@@ -185,6 +188,29 @@ class Pieces:
             begin = end
         return out
 
+    def advance_alone(self, word: str) -> bytes:
+        """Ids of a long word that has no others of its length to advance with: the same steps, one by one."""
+        last, back = [-1] * (len(word) + 1), [0] * (len(word) + 1)
+        for end in range(1, len(word) + 1):
+            for begin in range(max(0, end - self.longest), end):
+                i = self.id_of.get(word[begin:end], self.unknown if end - begin == 1 else None)
+                if i is None or not self.reachable[i] or (begin and last[begin] < 0):
+                    continue
+                if begin:
+                    pair = last[begin], i
+                    good = self.verdicts.get(pair)
+                    if good is None:
+                        good = self.verdicts[pair] = bool(self.apart(np.array(pair[:1]), np.array(pair[1:]))[0])
+                    if not good:
+                        continue
+                last[end], back[end] = i, end - begin
+                break
+        found, at = [], len(word)
+        while at:
+            found.append(last[at])
+            at -= back[at]
+        return self._with_bytes(word, np.array(found[::-1]))
+
     def _with_bytes(self, word: str, ids: np.ndarray) -> bytes:
         """Ids of a word in which characters that are no piece are spelled in bytes."""
         found, at = [], 0
@@ -207,7 +233,7 @@ class Pieces:
         """Ids of texts, as packed little-endian numbers."""
         split = [self.words.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
         if len(self.cache) > KEPT:
-            self.cache = {}
+            self.cache, self.verdicts = {}, {}
         known = self.cache
         fresh = {w for words in split for w in words if w not in known}
         parts = {w: self._cut(w) for w in fresh if len(w) >= LONG}
@@ -216,6 +242,9 @@ class Pieces:
             by_length.setdefault(len(w), []).append(w)
         solved: dict[str, bytes] = {}
         for size, words in by_length.items():
+            if size >= ALONE and len(words) < 4:
+                solved.update((w, self.advance_alone(w)) for w in words)
+                continue
             step = max(1, TOGETHER * 8 // max(8, size))
             for at in range(0, len(words), step):
                 some = words[at : at + step]
