@@ -430,9 +430,35 @@ WHERE violations > 0""",
 max(urgent) OVER w AS had_urgent, max((status = 'O')::INTEGER) OVER w AS had_late
 FROM (SELECT * REPLACE (CASE WHEN status = 'F' THEN CAST(month - INTERVAL 1 MONTH AS DATE) ELSE month END AS month) FROM order_month)
 WINDOW w AS (PARTITION BY member_id ORDER BY month RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-    "history_100": """SELECT order_id, month::VARCHAR AS month, max(urgent) OVER (PARTITION BY member_id ORDER BY m
+    "history_12": """SELECT order_id, month::VARCHAR AS month, max(urgent) OVER (PARTITION BY member_id ORDER BY m
 RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS had_urgent
 FROM (SELECT *, dense_rank() OVER (ORDER BY month) AS m FROM order_month)""",
+    "history_100": """SELECT order_id, month::VARCHAR AS month, max(urgent) OVER (PARTITION BY member_id ORDER BY m
+RANGE BETWEEN 99 PRECEDING AND CURRENT ROW) AS had_urgent
+FROM (SELECT *, dense_rank() OVER (ORDER BY month) AS m FROM order_month)""",
+    "republish_empty": "SELECT order_id, member_id, status, period FROM order_month WHERE period = 199803",
+    "snapshot_roundtrip": "SELECT order_id, member_id, status, period FROM order_month WHERE period = 199803",
+    "replace_table_roundtrip": """SELECT o_orderkey AS "O_ORDERKEY", lower(o_orderstatus) AS "STATUS" FROM orders""",
+    "validate_result": """SELECT *, violations = 0 AS success FROM (
+SELECT 'range' AS expectation, 'o_totalprice' AS "column", count(*) FILTER (WHERE NOT o_totalprice BETWEEN 1000 AND 400000) AS violations FROM orders
+UNION ALL SELECT 'unique', 'o_custkey', count(o_custkey) - count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'not_null', 'o_custkey', count(*) FILTER (WHERE o_custkey IS NULL) FROM orders)""",
+    "validate_suite": """SELECT 'range' AS expectation, 'c_nationkey' AS "column", count(*) FILTER (WHERE c_nationkey <= 0 OR c_nationkey >= 24) AS violations,
+count(*) FILTER (WHERE c_nationkey <= 0 OR c_nationkey >= 24) = 0 AS success FROM customer
+UNION ALL SELECT 'range', 'c_acctbal', count(*) FILTER (WHERE c_acctbal < 0), avg((c_acctbal >= 0)::INTEGER) >= 0.5 FROM customer
+UNION ALL SELECT 'range', 'c_acctbal', count(*) FILTER (WHERE c_acctbal < 5000), avg((c_acctbal >= 5000)::INTEGER) >= 0.9 FROM customer
+UNION ALL SELECT 'unique', 'c_custkey', count(*) - count(DISTINCT c_custkey), count(*) = count(DISTINCT c_custkey) FROM customer
+UNION ALL SELECT 'not_null', 'c_phone', NULL, false""",
+    "quantile_cuts_lines": """SELECT f AS fraction, round(v, 6) AS value FROM (
+SELECT unnest(list_transform(range(21), lambda i: i / 20.0::DOUBLE)) AS f,
+unnest(quantile_cont(l_extendedprice, [0.0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 1.0])) AS v FROM lineitem)""",
+    "wasserstein_lines": _distance.format(
+        union="SELECT l_extendedprice AS v, 1 AS a FROM lineitem WHERE l_returnflag = 'R' "
+        "UNION ALL SELECT l_extendedprice, 0 FROM lineitem WHERE l_returnflag <> 'R'",
+        out="round(d, 6) AS distance",
+    ),
+    "segment_kmeans": f"""SELECT member_id, cluster, {_label('cluster')} AS category
+FROM (SELECT member_id, {_segment(_segment_features)} AS cluster FROM scored)""",
     "period_max": "SELECT member_id, period, max(urgent) AS urgent FROM order_month GROUP BY 1, 2",
     "rolling_max": """SELECT member_id, period, CASE WHEN count(x) OVER w >= 3 THEN max(x) OVER w END AS n_max FROM (
 SELECT member_id, period, lag(n_orders) OVER (PARTITION BY member_id ORDER BY period) AS x FROM panel)

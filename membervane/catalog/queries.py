@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -11,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from membervane.catalog import standins as st
-from membervane.fixed_values import CHURN_FRACTIONS, NO_END_PERIOD, VALUE_FRACTIONS
+from membervane.fixed_values import CHURN_FRACTIONS, NO_END_PERIOD, SEGMENT_LABELS, VALUE_FRACTIONS
 from membervane.functions import dates, flags, numeric, text
+from membervane.functions.text import label
 from membervane.operators import history, joins, quality, quantiles, rows, schema, scoring, segments, value
 from membervane.plans import campaign as campaign_plan
 from membervane.plans import lifetime, preparation
@@ -99,7 +102,77 @@ def publish_tables(spark, sf):
         "orders": st.order_month(spark, sf),
         "categories": st.category(spark, sf),
     }
-    return sinks.publish(parts, scratch_path(spark, "published"), st.AS_OF_PERIOD)
+    listing = sinks.publish(parts, scratch_path(spark, "published"), st.AS_OF_PERIOD)
+    return listing.select("table_name", "period", "row_count")
+
+
+@query
+def republish_empty(spark, sf):
+    """Two months published, one of them again without a row: what readers of the manifest find."""
+    folder = scratch_path(spark, "published")
+    months = st.order_month(spark, sf).select("order_id", "member_id", "status", "period")
+    for period in (199803, 199804):
+        sinks.publish({"orders": months.filter(F.col("period") == period).drop("period")}, folder, period)
+    sinks.publish({"orders": months.filter("false").drop("period")}, folder, 199804)
+    found = [
+        sinks.read_published(spark, folder, "orders", period).withColumn("period", F.lit(period))
+        for period in (199803, 199804)
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def snapshot_roundtrip(spark, sf):
+    """Snapshots of two months in several parts each: the newest of a month is found by its name and read whole."""
+    folder = scratch_path(spark, "snapshots")
+    months = st.order_month(spark, sf).select("order_id", "member_id", "status", "period")
+    for period in (199803, 199804):
+        rows = months.filter(F.col("period") == period)
+        sinks.export_csv(rows.repartition(3, "order_id"), f"{folder}/{dates.snapshot_name('ready', period)}", compression="gzip")
+    first = months.filter(F.col("period") == 199803).filter(F.col("status") == "F")
+    sinks.export_csv(first, f"{folder}/{dates.snapshot_name('ready_score', 199803)}.csv", single_file=True)
+    return tables.read_snapshot(spark, folder, "mar98", "ready", months.schema, exclude="score")
+
+
+@query
+def replace_table_roundtrip(spark, sf):
+    """A catalog table written twice, the second time with other columns and upper-case names."""
+    orders = st.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    path, name = scratch_path(spark, "replaced"), f"replaced_{uuid.uuid4().hex}"
+    sinks.replace_table(orders, name, path)
+    sinks.replace_table(orders.select("o_orderkey", F.lower("o_orderstatus").alias("status")), name, path, upper=True)
+    return tables.read_table(spark, name)
+
+
+@query
+def validate_result(spark, sf):
+    """A check report written as JSON and read back."""
+    path = scratch_path(spark, "report")
+    rules = [
+        {"expect": "range", "column": "o_totalprice", "min": 1000.0, "max": 400000.0},
+        {"expect": "unique", "column": "o_custkey"},
+        {"expect": "not_null", "column": "o_custkey"},
+    ]
+    report = quality.validate(st.table(spark, sf, "orders"), rules)
+    sinks.write_result(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@query
+def validate_suite(spark, sf):
+    """A loaded JSON suite with strict bounds, shares of values, and a column that isn't there."""
+    suite = json.loads(
+        """{"expectations": [
+        {"expectation_type": "expect_column_values_to_be_between",
+         "kwargs": {"column": "c_nationkey", "min_value": 0, "max_value": 24, "strict_min": true, "strict_max": true}},
+        {"expectation_type": "expect_column_values_to_be_between",
+         "kwargs": {"column": "c_acctbal", "min_value": 0, "mostly": 0.5}},
+        {"expectation_type": "expect_column_values_to_be_between",
+         "kwargs": {"column": "c_acctbal", "min_value": 5000, "mostly": 0.9}},
+        {"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "c_custkey", "mostly": 1.0}},
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "c_phone"}}]}"""
+    )
+    return quality.validate(st.table(spark, sf, "customer"), quality.expectations_of(suite))
 
 
 @query
@@ -395,6 +468,24 @@ def quantile_cuts(spark, sf):
     return rounded(quantiles.quantile_table(st.member(spark, sf), ["balance"], [*VALUE_FRACTIONS, *CHURN_FRACTIONS]))
 
 
+@query
+def quantile_cuts_lines(spark, sf):
+    """Quantiles of a longer column, cut into many buckets."""
+    prices = st.table(spark, sf, "lineitem").select("l_extendedprice")
+    fractions = [i / 20 for i in range(21)]
+    found = quantiles.exact_quantiles(prices, ["l_extendedprice"], fractions, bucket_rows=2000)["l_extendedprice"]
+    rows = [(float(q), v) for q, v in zip(fractions, found, strict=True)]
+    return rounded(spark.createDataFrame(rows, "fraction double, value double"))
+
+
+@query
+def wasserstein_lines(spark, sf):
+    """Distance of the prices of two kinds of lines, cut into many buckets."""
+    lines = st.table(spark, sf, "lineitem")
+    returned, others = lines.filter("l_returnflag = 'R'"), lines.filter("l_returnflag <> 'R'")
+    return rounded(quality.wasserstein(returned, others, "l_extendedprice", "l_extendedprice", bucket_rows=2000))
+
+
 @query
 def row_mean(spark, sf):
     a = st.averages(spark, sf)
@@ -449,12 +540,19 @@ def history_flags(spark, sf):
 
 
 @query
-def history_100(spark, sf):
+def history_12(spark, sf):
     """The last 12 periods of the table, so that old months drop out."""
     flagged = history.ever_flags(st.order_month(spark, sf), "member_id", "month", {"had_urgent": "urgent"}, 12)
     return dates_as_text(flagged.select("order_id", "month", "had_urgent"))
 
 
+@query
+def history_100(spark, sf):
+    """The last 100 periods, which here are all there are."""
+    flagged = history.ever_flags(st.order_month(spark, sf), "member_id", "month", {"had_urgent": "urgent"}, 100)
+    return dates_as_text(flagged.select("order_id", "month", "had_urgent"))
+
+
 @query
 def period_max(spark, sf):
     missing = st.order_month(spark, sf).withColumn("urgent", F.nullif("urgent", F.lit(0)))
@@ -707,12 +805,24 @@ def segment_assign(spark, sf):
 
 @query
 def segment_kmeans(spark, sf):
-    """Segments of a fitted clustering model; the model stands for a stored one."""
-    inputs = stage(_segment_inputs(spark, sf), "segment_inputs")
+    """Segments of a fitted clustering model: k-means of the five given centroids, one cluster each.
+
+    The model stands for a stored one; its cluster numbers are matched to those of the centroids.
+    """
+    inputs = _segment_inputs(spark, sf)
     features = list(lifetime.SEGMENT_FEATURES)
-    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(inputs)
-    model = KMeans(k=5, seed=1, maxIter=5).fit(vectors)
-    return segments.assign_segment_model(inputs, features, model).select("member_id", "cluster", "category")
+    scale = st.MODELS.scale or {}
+    scaled = {f: segments.standardize(F.col(f), *scale[f]) if f in scale else F.col(f) for f in features}
+    names = [f"_scaled_{i}" for i in range(len(features))]
+    points = spark.createDataFrame([tuple(map(float, c)) for c in st.MODELS.centroids], [f"_feature_{i}" for i in range(len(features))])
+    vectors = VectorAssembler(inputCols=points.columns, outputCol="features").transform(points)
+    model = KMeans(k=len(st.MODELS.centroids), seed=1, initMode="random").fit(vectors)
+    given = [[float(x) for x in c] for c in st.MODELS.centroids]
+    number = {k: given.index([round(float(x), 9) for x in c]) + 1 for k, c in enumerate(model.clusterCenters())}
+    ready = inputs.withColumns({n: scaled[f] for n, f in zip(names, features, strict=True)})
+    found = segments.assign_segment_model(ready, names, model).select("member_id", F.col("cluster").alias("found"))
+    cluster = F.element_at(F.create_map(*[F.lit(x) for k, n in number.items() for x in (k + 1, n)]), F.col("found"))
+    return found.withColumn("cluster", cluster).select("member_id", "cluster", label(F.col("cluster"), SEGMENT_LABELS).alias("category"))
 
 
 @query

@@ -74,33 +74,46 @@ def period_tag(day: Column) -> Column:
 _DIGITS = {"yyyy": "[0-9]{4}", "MM": "(0[1-9]|1[0-2])", "dd": "(0[1-9]|[12][0-9]|3[01])"}
 
 
-def _parse_date(col: Column, pattern: str) -> Column:
-    """Date of a text in one format, NULL if it does not fit.
-
-    A format of ``yyyy``, ``MM``, ``dd`` and separators is read by position, which costs a
-    fraction of a formatter, above all where the text does not fit. Others go through Spark's.
-    """
+def _by_position(pattern: str) -> bool:
+    """Whether a format is made of one year, month and day and separators."""
     separators = re.sub("yyyy|MM|dd", "", pattern)
-    if re.search("[A-Za-z]", separators) or any(pattern.count(p) != 1 for p in _DIGITS):
-        return F.try_to_date(col, pattern)
+    return not re.search("[A-Za-z]", separators) and all(pattern.count(p) == 1 for p in _DIGITS)
 
-    def part(name: str) -> Column:
-        return F.substring(col, pattern.index(name) + 1, len(name)).cast("int")
 
+def _iso_text(col: Column, pattern: str) -> Column:
+    """The text in ISO order if it has the shape of a format read by position, else NULL."""
     shape = re.sub("yyyy|MM|dd|.", lambda m: _DIGITS.get(m[0], re.escape(m[0])), pattern)
-    day = F.date_add(F.make_date(part("yyyy"), part("MM"), F.lit(1)), part("dd") - 1)
-    same_month = F.when(F.month(day) == part("MM"), day)
-    return F.when(col.rlike(f"^{shape}$"), same_month)
+    parts = [F.substring(col, pattern.index(name) + 1, len(name)) for name in ("yyyy", "MM", "dd")]
+    return F.when(col.rlike(f"^{shape}$"), F.concat_ws("-", *parts))
 
 
 def mixed_date(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Text date in the first format that parses it; NULL if none does."""
-    return F.coalesce(*[_parse_date(col, p) for p in formats])
+    """Text date in the first format that parses it; NULL if none does.
+
+    Formats read by position are brought into ISO order first, so that a run of them costs one parse, in small
+    generated code. Two such formats can only share a text that both read, or that has a day
+    no month has in the first and no month in the second.
+    """
+    found: list[Column] = []
+    run: list[Column] = []
+    for pattern in [*formats, None]:
+        if pattern is not None and _by_position(pattern):
+            run.append(_iso_text(col, pattern))
+            continue
+        if run:
+            found.append(F.coalesce(*run).try_cast("date"))
+            run = []
+        if pattern is not None:
+            found.append(F.try_to_date(col, pattern))
+    return F.coalesce(*found)
 
 
 def mixed_date_period(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Period of a text date in the first format that parses it; NULL if none does."""
-    return period_of(mixed_date(col, formats))
+    """Period of a text date in the first format that parses it; NULL if none does.
+
+    Taken from the date's text, which names the date expression once.
+    """
+    return F.translate(F.substring(mixed_date(col, formats).cast("string"), 1, 7), "-", "").cast("int")
 
 
 def shift_leavers(period: Column, code: Column, codes: Sequence[str] = LEAVER_CODES) -> Column:

@@ -40,12 +40,10 @@ def ever_flags(
         frame = Window.partitionBy(key).orderBy(period)
         frame = frame.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
-        # One row per month of the table: broadcast, as a month is no key to shuffle by.
+        # One row per month of the table; whether that is small enough to broadcast is left to Spark.
         months = df.select(period).distinct()
         months = months.withColumn("_month", F.dense_rank().over(Window.orderBy(period)))
-        monthly = monthly.join(
-            F.broadcast(months), monthly[period].eqNullSafe(months[period])
-        ).drop(months[period])
+        monthly = monthly.join(months, monthly[period].eqNullSafe(months[period])).drop(months[period])
         frame = Window.partitionBy(key).orderBy("_month").rangeBetween(1 - last_periods, 0)
     running = monthly.select(
         F.col(key).alias("_key"),

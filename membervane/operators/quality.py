@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from membervane.operators.quantiles import (
-    SMALL_ROWS,
     bucket_cuts,
     count_values,
     exact_quantiles,
@@ -107,9 +106,11 @@ def _violation(kind: str, column: str, rule: Mapping[str, object], types: Mappin
     if kind == "range":
         outside = F.lit(False)
         if rule.get("min") is not None:
-            outside = outside | (col < F.lit(rule["min"]))
+            low = F.lit(rule["min"])
+            outside = outside | (col <= low if rule.get("strict_min") else col < low)
         if rule.get("max") is not None:
-            outside = outside | (col > F.lit(rule["max"]))
+            high = F.lit(rule["max"])
+            outside = outside | (col >= high if rule.get("strict_max") else col > high)
         return F.count_if(outside)
     if kind == "in_set":
         return F.count_if(~col.isin(*rule["values"]))
@@ -121,11 +122,16 @@ def _violation(kind: str, column: str, rule: Mapping[str, object], types: Mappin
 # Check names of the common JSON suite format, and what they are here.
 _SUITE_CHECKS = {
     "expect_column_values_to_not_be_null": ("not_null", {}),
-    "expect_column_values_to_be_between": ("range", {"min_value": "min", "max_value": "max"}),
+    "expect_column_values_to_be_between": (
+        "range",
+        {"min_value": "min", "max_value": "max", "strict_min": "strict_min", "strict_max": "strict_max"},
+    ),
     "expect_column_values_to_be_in_set": ("in_set", {"value_set": "values"}),
     "expect_column_values_to_be_unique": ("unique", {}),
     "expect_column_values_to_be_of_type": ("type", {"type_": "type"}),
 }
+# Arguments of a suite that change no result.
+_SUITE_SILENT = {"column", "result_format", "include_config", "catch_exceptions", "meta"}
 
 
 def expectations_of(suite: Mapping[str, object]) -> list[dict[str, object]]:
@@ -136,6 +142,10 @@ def expectations_of(suite: Mapping[str, object]) -> list[dict[str, object]]:
             raise ValueError(f"no check for {entry['expectation_type']}")
         kind, options = _SUITE_CHECKS[entry["expectation_type"]]
         kwargs = entry["kwargs"]
+        options = {**options, "mostly": "mostly"}
+        unknown = kwargs.keys() - options.keys() - _SUITE_SILENT
+        if unknown:
+            raise ValueError(f"{entry['expectation_type']} has options without a meaning here: {sorted(unknown)}")
         found = {ours: kwargs[theirs] for theirs, ours in options.items() if theirs in kwargs}
         out.append({"expect": kind, "column": kwargs["column"], **found})
     return out
@@ -147,44 +157,61 @@ def validate(
     """Check expectations; rows (expectation, column, violations, success).
 
     An expectation is a mapping with ``expect`` and ``column``: ``not_null``; ``range`` with
-    ``min`` and/or ``max``; ``in_set`` with ``values``; ``type`` with ``type``; ``unique``. Missing
-    values only violate ``not_null``. ``unique`` counts the surplus rows. One pass over the data
+    ``min`` and/or ``max`` (``strict_min``, ``strict_max``: bounds excluded); ``in_set`` with ``values``; ``type`` with ``type``; ``unique``. Missing
+    values only violate ``not_null``. ``unique`` counts the surplus rows. With ``mostly`` that share of the values
+    (of the rows, for ``not_null``) has to be right. An absent column fails its check with NULL violations; no
+    expectations give an empty report. One pass over the data
     serves all expectations but ``unique``, which needs one grouping per column.
     """
     types = dict(df.dtypes)
+    report_type = "expectation string, column string, violations bigint, success boolean"
 
-    def result(kind: str, column: str, violations: Column) -> Column:
+    def result(e: Mapping[str, object], violations: Column, values: Column) -> Column:
+        right = violations == 0
+        if e.get("mostly") is not None:
+            right = (violations == 0) | (violations <= (1 - F.lit(float(e["mostly"]))) * values + F.lit(1e-9))
         return F.struct(
-            F.lit(kind).alias("expectation"),
-            F.lit(column).alias("column"),
-            violations.alias("violations"),
+            F.lit(e["expect"]).alias("expectation"),
+            F.lit(e["column"]).alias("column"),
+            violations.cast("bigint").alias("violations"),
+            right.alias("success"),
         )
 
-    plain = [e for e in expectations if e["expect"] != "unique"]
-    parts = []
+    known = [e for e in expectations if e["column"] in types]
+    absent = [(e["expect"], e["column"], None, False) for e in expectations if e["column"] not in types]
+    plain = [e for e in known if e["expect"] != "unique"]
+    parts = [df.sparkSession.createDataFrame(absent, report_type)] if absent else []
     if plain:
         counts = df.agg(
             *[
-                result(e["expect"], e["column"], _violation(e["expect"], e["column"], e, types)).alias(f"_{i}")
+                result(
+                    e,
+                    _violation(e["expect"], e["column"], e, types),
+                    F.count(F.lit(1)) if e["expect"] == "not_null" else F.count(e["column"]),
+                ).alias(f"_{i}")
                 for i, e in enumerate(plain)
             ]
         )
         parts.append(counts.select(F.inline(F.array(*[f"_{i}" for i in range(len(plain))]))))
-    for e in expectations:
+    for e in known:
         if e["expect"] == "unique":
             c = e["column"]
-            copies = df.filter(F.col(c).isNotNull()).groupBy(c).agg((F.count(F.lit(1)) - 1).alias("_more"))
-            surplus = copies.agg(F.coalesce(F.sum("_more"), F.lit(0)).alias("_surplus"))
-            parts.append(surplus.select(F.inline(F.array(result("unique", c, F.col("_surplus"))))))
+            copies = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_held"))
+            surplus = copies.agg(
+                F.coalesce(F.sum(F.col("_held") - 1), F.lit(0)).alias("_surplus"),
+                F.coalesce(F.sum("_held"), F.lit(0)).alias("_values"),
+            )
+            parts.append(surplus.select(F.inline(F.array(result(e, F.col("_surplus"), F.col("_values"))))))
+    if not parts:
+        return df.sparkSession.createDataFrame([], report_type)
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
-    report = report.withColumn("success", F.col("violations") == 0)
     return report.filter(~F.col("success")) if failures_only else report
 
 
 def wasserstein(
-    a: DataFrame, b: DataFrame, col_a: str, col_b: str, bucket_rows: int = SMALL_ROWS
+    a: DataFrame, b: DataFrame, col_a: str, col_b: str, bucket_rows: int | None = None
 ) -> DataFrame:
     """First Wasserstein distance of two populations of one number: a single row ``distance``.
 

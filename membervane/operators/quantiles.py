@@ -1,11 +1,11 @@
 """Exact order statistics of columns of any size.
 
-Spark's ``percentile`` keeps every distinct value of a column in one task. It is used for
-columns up to ``SMALL_ROWS`` values only. Beyond that a column is first reduced to its distinct
-values with their counts (a hash aggregation, so copies never travel), and the values are cut
-into range buckets at approximate quantiles. Counts per bucket are small enough for the
-driver; they say which bucket holds a rank, so that exact ranks only ever need a window
-inside one bucket. The approximate cuts decide the balance of the buckets, not the result.
+Spark's ``percentile`` keeps every distinct value of a column in one task. Here a column is
+reduced to its distinct values with their counts (a hash aggregation, so copies never travel), and
+the values are cut into range buckets at sampled values; a column that fits one bucket has no
+cut, and takes the same way. Counts per bucket say which bucket holds a rank, so that exact ranks only ever need a window
+inside one bucket. The sampled cuts decide the balance of the buckets, not the result. Buckets grow in
+size and in number with the square root of the values, so neither meets a limit.
 """
 
 from __future__ import annotations
@@ -22,8 +22,15 @@ from pyspark.sql import functions as F
 
 from membervane.session import stage
 
-SMALL_ROWS = 100_000
-MAX_BUCKETS = 4096
+#: Least number of values for which another bucket is made.
+BUCKET_ROWS = 100_000
+#: Sampled values per cut.
+SAMPLED = 5
+
+
+def bucket_size(rows: int, bucket_rows: int | None = None) -> int:
+    """Values of a bucket: as asked, or the larger of ``BUCKET_ROWS`` and the square root of all."""
+    return max(1, bucket_rows if bucket_rows is not None else max(BUCKET_ROWS, math.isqrt(rows)))
 
 
 def _present(col: str) -> Column:
@@ -39,24 +46,30 @@ def count_values(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
 
 
 def bucket_cuts(
-    df: DataFrame, columns: Sequence[str], sizes: Mapping[str, int], bucket_rows: int
+    df: DataFrame, columns: Sequence[str], sizes: Mapping[str, int], bucket_rows: int | None = None
 ) -> dict[str, list[float]]:
-    """Cut values per column for buckets of about ``bucket_rows`` rows; none for a short column."""
-    wanted = {c: min(MAX_BUCKETS, math.ceil(sizes[c] / bucket_rows)) for c in columns}
+    """Cut values per column for buckets of about ``bucket_rows`` values; none for a short column.
+
+    Cuts are taken from a sample of the distinct values (by a hash of the value, so each task sends its
+    few sampled values only), ``SAMPLED`` per bucket.
+    """
+    wanted = {c: math.ceil(sizes[c] / bucket_size(sizes[c], bucket_rows)) for c in columns}
     cuts: dict[str, list[float]] = {c: [] for c in columns}
     long = [c for c in columns if wanted[c] > 1]
     if long:
-        row = df.agg(
-            *[
-                F.percentile_approx(
-                    _present(c),
-                    [i / wanted[c] for i in range(1, wanted[c])],
-                    10 * wanted[c],
-                ).alias(c)
-                for c in long
-            ]
-        ).first()
-        cuts.update({c: sorted(set(row[c])) for c in long})
+        picked = []
+        for c in long:
+            rate = max(1, sizes[c] // (SAMPLED * wanted[c]))
+            hit = F.pmod(F.xxhash64(_present(c)), F.lit(rate)) == 0
+            picked.append(F.when(hit, F.struct(F.lit(c).alias("series"), _present(c).alias("value"))))
+        sample = df.select(F.inline(F.array_compact(F.array(*picked)))).filter(F.col("value").isNotNull()).distinct()
+        values: dict[str, list[float]] = {c: [] for c in long}
+        for row in sample.collect():
+            values[row["series"]].append(row["value"])
+        for c, found in values.items():
+            found.sort()
+            number = min(wanted[c], len(found))
+            cuts[c] = sorted({found[k * len(found) // number] for k in range(1, number)})
     return cuts
 
 
@@ -119,7 +132,7 @@ class Ranking:
             ):
                 if wanted is None or (series, bucket) in wanted:
                     bounds.append((series, bucket, start, then))
-        # One row per bucket: at most MAX_BUCKETS per series.
+        # One row per bucket.
         table = spark.createDataFrame(
             bounds, "series string, bucket int, bucket_start long, next_bucket_value double"
         )
@@ -163,7 +176,7 @@ def _counted(bucketed: DataFrame) -> DataFrame:
 
 
 def _collect_totals(rows: DataFrame, size: Column) -> dict[str, list[tuple[int, int, float | None]]]:
-    """Bucket numbers, rows and smallest values per series: at most MAX_BUCKETS per series."""
+    """Bucket numbers, rows and smallest values per series: one row per bucket."""
     per_bucket = rows.groupBy("series", "bucket").agg(size.alias("rows"), F.min("value").alias("low"))
     totals: dict[str, list[tuple[int, int, float | None]]] = {}
     for row in sorted(per_bucket.collect(), key=lambda r: (r["series"], r["bucket"])):
@@ -175,7 +188,7 @@ def rank_values(
     df: DataFrame,
     columns: Sequence[str],
     sizes: Mapping[str, int] | None = None,
-    bucket_rows: int = SMALL_ROWS,
+    bucket_rows: int | None = None,
 ) -> Ranking:
     """Reduce columns to their distinct values in range buckets."""
     sizes = dict(sizes or count_values(df, columns))
@@ -196,7 +209,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     fractions: Sequence[float] | Mapping[str, Sequence[float]],
-    small_rows: int = SMALL_ROWS,
+    bucket_rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, NULL and NaN ignored, as driver values.
 
@@ -207,7 +220,7 @@ def exact_quantiles(
         if isinstance(fractions, Mapping)
         else {c: list(fractions) for c in columns}
     )
-    return _quantiles(df, columns, asked, count_values(df, columns), small_rows)
+    return _quantiles(df, columns, asked, count_values(df, columns), bucket_rows)
 
 
 def _quantiles(
@@ -215,28 +228,15 @@ def _quantiles(
     columns: Sequence[str],
     asked: Mapping[str, Sequence[float]],
     sizes: Mapping[str, int],
-    small_rows: int,
+    bucket_rows: int | None,
 ) -> dict[str, list[float | None]]:
     out: dict[str, list[float | None]] = {c: [None] * len(asked[c]) for c in columns}
-    small = [c for c in columns if 0 < sizes[c] <= small_rows]
-    large = [c for c in columns if sizes[c] > small_rows]
-    if small:
-        row = df.agg(
-            *[
-                F.percentile(_present(c), F.array(*[F.lit(float(q)) for q in asked[c]])).alias(c)
-                for c in small
-            ]
-        ).first()
-        out.update({c: list(row[c]) for c in small})
-    if large:
-        positions = {c: [q * (sizes[c] - 1) for q in asked[c]] for c in large}
-        found = _values_at(
-            df,
-            {c: sizes[c] for c in large},
-            {c: sorted({r for p in positions[c] for r in (math.floor(p), math.ceil(p))}) for c in large},
-            max(1, small_rows),
-        )
-        for c in large:
+    filled = [c for c in columns if sizes[c] and asked[c]]
+    if filled:
+        positions = {c: [q * (sizes[c] - 1) for q in asked[c]] for c in filled}
+        ranks = {c: sorted({r for p in positions[c] for r in (math.floor(p), math.ceil(p))}) for c in filled}
+        found = _values_at(df, {c: sizes[c] for c in filled}, ranks, bucket_rows)
+        for c in filled:
             out[c] = [
                 _interpolate(found[c, math.floor(p)], found[c, math.ceil(p)], p - math.floor(p))
                 for p in positions[c]
@@ -245,7 +245,7 @@ def _quantiles(
 
 
 def _values_at(
-    df: DataFrame, sizes: Mapping[str, int], ranks: Mapping[str, Sequence[int]], bucket_rows: int
+    df: DataFrame, sizes: Mapping[str, int], ranks: Mapping[str, Sequence[int]], bucket_rows: int | None
 ) -> dict[tuple[str, int], float]:
     """Values at the given ranks.
 
@@ -253,8 +253,11 @@ def _values_at(
     that hold a wanted rank.
     """
     columns = list(sizes)
-    bucketed = _bucketed(df, columns, bucket_cuts(df, columns, sizes, bucket_rows))
-    ranking = Ranking(bucketed, dict(sizes), _collect_totals(bucketed, F.count(F.lit(1))))
+    cuts = bucket_cuts(df, columns, sizes, bucket_rows)
+    bucketed = _bucketed(df, columns, cuts)
+    one_each = {c: [(0, sizes[c], None)] for c in columns}
+    totals = _collect_totals(bucketed, F.count(F.lit(1))) if any(cuts.values()) else one_each
+    ranking = Ranking(bucketed, dict(sizes), totals)
     wanted = []
     for series, positions in ranks.items():
         starts = ranking.starts(series)
@@ -295,7 +298,7 @@ def quantile_rank(
     df: DataFrame,
     columns: Mapping[str, str],
     n_quantiles: int = 100,
-    small_rows: int = SMALL_ROWS,
+    bucket_rows: int | None = None,
 ) -> DataFrame:
     """Add the rank of each value as a fraction of its column's distribution: ``{source: out}``.
 
@@ -310,7 +313,7 @@ def quantile_rank(
     for c in sources:
         n = max(2, min(n_quantiles, sizes[c]))
         fractions[c] = [i / (n - 1) for i in range(n)]
-    quantiles = _quantiles(df, sources, fractions, sizes, small_rows)
+    quantiles = _quantiles(df, sources, fractions, sizes, bucket_rows)
     filled = [c for c in sources if sizes[c]]
     values = {c: f"_value_{i}" for i, c in enumerate(filled)}
     segments = {v: f"_segment_{i}" for i, v in enumerate(values.values())}
@@ -364,7 +367,7 @@ def rank_lookup(
     copies together are at most about as many rows as values and requests.
     """
     series_names = list(ranking.totals)
-    share_rows = max(SMALL_ROWS, math.ceil(max(ranking.sizes.values()) / MAX_BUCKETS))
+    share_rows = bucket_size(max(ranking.sizes.values()))
     size = F.lit(None).cast("long")
     for s in series_names:
         size = F.when(F.col("series") == s, F.lit(ranking.sizes[s])).otherwise(size)
@@ -383,7 +386,7 @@ def rank_lookup(
         bucket = F.when(F.col("series") == s, found).otherwise(bucket)
     located = located.withColumn("bucket", bucket).drop(*starts, *slots.values())
 
-    # At most MAX_BUCKETS rows per series.
+    # One row per bucket that a request falls into.
     loads = located.groupBy("series", "bucket").count().collect()
     shares = [
         (r["series"], r["bucket"], math.ceil(r["count"] / share_rows))

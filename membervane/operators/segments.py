@@ -177,10 +177,21 @@ def assign_segment_model(
     out: str = "cluster",
     out_label: str = "category",
 ) -> DataFrame:
-    """The same with a fitted clustering model that reads a ``features`` vector."""
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    scored = model.transform(vectors.transform(df)).drop("features")
-    numbered = scored.withColumn(out, F.col("prediction") + 1).drop("prediction")
+    """The same with a fitted clustering model that reads a ``features`` vector.
+
+    Rows with a missing feature are scored at zero, as a model takes no gap, and get NULL.
+    """
+    present = F.lit(True)
+    for f in features:
+        value = F.col(f).cast("double")
+        present = present & value.isNotNull() & ~F.isnan(value)
+    filled = {f: f"_feature_{i}" for i, f in enumerate(features)}
+    complete = df.withColumn("_present", present).withColumns(
+        {g: F.when(F.col("_present"), F.col(f).cast("double")).otherwise(0.0) for f, g in filled.items()}
+    )
+    vectors = VectorAssembler(inputCols=list(filled.values()), outputCol="features", handleInvalid="keep")
+    scored = model.transform(vectors.transform(complete)).drop("features", *filled.values())
+    numbered = scored.withColumn(out, F.when(F.col("_present"), F.col("prediction") + 1)).drop("prediction", "_present")
     return numbered.withColumn(out_label, label(F.col(out), labels))
 
 

@@ -50,8 +50,8 @@ def read_csv(
     return df.drop(index_column) if index_column else df
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Name, path and modification time of every file below a folder; contents are not read."""
+def list_files(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """Name, path and modification time of every file below the folders; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("name"),
@@ -60,8 +60,19 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def list_snapshots(files: DataFrame) -> DataFrame:
+    """Snapshots of a listing: a written folder of part files is one, under the folder's name; so is any other file.
+
+    The newest of its files dates a snapshot.
+    """
+    part = F.col("name").rlike("^part-[0-9]{5}")
+    path = F.when(part, F.regexp_replace("path", "/[^/]+$", "")).otherwise(F.col("path"))
+    grouped = files.groupBy(path.alias("path")).agg(F.max("modified").alias("modified"))
+    return grouped.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", "modified")
+
+
 def latest_snapshot(files: DataFrame, period: str | Column, token: str, exclude: str | None = None) -> DataFrame:
-    """The newest file whose name contains the token and the period tag; a single row.
+    """The newest file or snapshot whose name contains the token and the period tag; a single row.
 
     Without such a file the newest one with the token is taken, without that none. Names that
     contain ``exclude``, such as outputs of the same job, are left out.
@@ -77,11 +88,24 @@ def latest_snapshot(files: DataFrame, period: str | Column, token: str, exclude:
     )
 
 
+def find_snapshot(
+    spark: SparkSession, folder: str | list[str], period: str, token: str, exclude: str | None = None
+) -> str:
+    """Path of the newest snapshot of a period below the folders, see ``latest_snapshot``."""
+    found = latest_snapshot(list_snapshots(list_files(spark, folder)), period, token, exclude).first()
+    if found is None:
+        raise FileNotFoundError(f"no snapshot with {token!r} in its name below {folder}")
+    return found["path"]
+
+
 def read_snapshot(
-    spark: SparkSession, folder: str, period: str, token: str, schema: T.StructType | str, exclude: str | None = None
+    spark: SparkSession,
+    folder: str | list[str],
+    period: str,
+    token: str,
+    schema: T.StructType | str,
+    exclude: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """Read the newest delimited file of a period."""
-    found = latest_snapshot(list_files(spark, folder), period, token, exclude).first()
-    if found is None:
-        raise FileNotFoundError(f"no file with {token!r} in its name below {folder}")
-    return read_csv(spark, found["path"], schema)
+    """All rows of the newest snapshot of a period; ``path`` names one instead of the search."""
+    return read_csv(spark, path or find_snapshot(spark, folder, period, token, exclude), schema)

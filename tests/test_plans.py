@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
@@ -177,3 +178,19 @@ def test_campaign_table_has_one_row_per_member(spark):
     values = spark.createDataFrame([(1, 7.0), (1, 7.0)], "id_titular int, ltv double")
     got = campaign.campaign_table(scored, values, campaign.CampaignNames(), ["i"]).orderBy("id_titular").collect()
     assert [tuple(r) for r in got] == [(1, 1, 0.4, 7.0), (2, 1, 0.3, None)]
+
+
+def test_preparation_stays_in_generated_code(spark):
+    """No stage of the preparation query is too large to compile."""
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("sample tables are not there")
+    before = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        from membervane.catalog.queries import all_queries
+
+        assert all_queries()["prepare_members"](spark, "/root/testdata/sf0.001").count()
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", before)
+        spark.conf.unset("spark.sql.codegen.factoryMode")

@@ -102,13 +102,14 @@ def test_scan_period_prunes_partitions(spark):
 
 def test_csv(spark, df):
     for compression in (None, "gzip"):
-        path = scratch_path(spark, "csv")
-        sinks.export_csv(df.repartition(3), path, compression, single_file_rows=10)
-        files = tables.list_files(spark, path).filter(F.col("name").startswith("part-")).collect()
-        assert len(files) == 1 and files[0]["name"].endswith(".csv.gz" if compression else ".csv")
+        path = scratch_path(spark, "csv") + (".csv.gz" if compression else ".csv")
+        for _ in range(2):  # the second run replaces the file of the first
+            sinks.export_csv(df.repartition(3), path, compression, single_file=True)
+        files = tables.list_files(spark, path).collect()
+        assert len(files) == 1 and files[0]["path"].removeprefix("file:").lstrip("/") == path.lstrip("/")
         assert sorted(map(str, tables.read_csv(spark, path, df.schema).collect())) == sorted(map(str, df.collect()))
     path = scratch_path(spark, "csv")
-    sinks.export_csv(df.repartition(3), path, single_file_rows=2)
+    sinks.export_csv(df.repartition(3), path)
     assert tables.list_files(spark, path).filter(F.col("name").startswith("part-")).count() > 1
     without = tables.read_csv(spark, path, df.schema, index_column="k")
     assert without.columns == ["v", "s"]
@@ -117,18 +118,23 @@ def test_csv(spark, df):
 def test_snapshots(spark, df):
     folder = scratch_path(spark, "folder")
     for name in ("24.01.01_ltv_ene24", "24.02.01_LTV_ene24_b", "24.03.01_ltv_feb24", "24.03.01_ltv_out_ene24", "other_ene24"):
-        sinks.export_csv(df.limit(1), f"{folder}/{name}", single_file_rows=5)
+        sinks.export_csv(df.repartition(3), f"{folder}/{name}", single_file=name.startswith("other"))
         time.sleep(1.1)
-    listing = tables.list_files(spark, folder).filter(F.col("name").startswith("part-"))
-    named = listing.withColumn("name", F.element_at(F.split("path", "/"), -2))
+    named = tables.list_snapshots(tables.list_files(spark, folder))
     pick = lambda *a, **k: tables.latest_snapshot(named, *a, **k).first()
+    assert named.count() == 5
     assert pick("ene24", "ltv")["name"] == "24.03.01_ltv_out_ene24"
     assert pick("ene24", "ltv", exclude="out")["name"] == "24.02.01_LTV_ene24_b"
     assert pick("mar24", "ltv", exclude="out")["name"] == "24.03.01_ltv_feb24"
     assert pick("ene24", "none") is None
     with pytest.raises(FileNotFoundError):
         tables.read_snapshot(spark, folder, "ene24", "none", df.schema)
-    assert tables.read_snapshot(spark, folder, "ene24", "part-", df.schema).count() == 1
+    want = sorted(map(str, df.collect()))
+    for token in ("ltv", "other"):
+        assert sorted(map(str, tables.read_snapshot(spark, folder, "ene24", token, df.schema).collect())) == want
+    path = tables.find_snapshot(spark, [folder], "feb24", "ltv")
+    assert path.endswith("24.03.01_ltv_feb24")
+    assert tables.read_snapshot(spark, "", "", "", df.schema, path=path).count() == df.count()
 
 
 def test_tables(spark, df):
@@ -149,9 +155,25 @@ def test_publish(spark, df):
     folder = scratch_path(spark, "published")
     for period in (202001, 202002):
         manifest = sinks.publish({"one": df, "two": df.limit(2)}, folder, period)
-        assert {tuple(r) for r in manifest.collect()} == {("one", period, 4), ("two", period, 2)}
+        assert {tuple(r)[:3] for r in manifest.collect()} == {("one", period, 4), ("two", period, 2)}
     assert spark.read.parquet(f"{folder}/manifest").count() == 4
-    assert spark.read.parquet(f"{folder}/one").filter("period = 202001").count() == 4
+    sinks.publish({"one": df.limit(1), "two": df.filter("false")}, folder, 202002)
+    found = {(t, p): sinks.read_published(spark, folder, t, p).count() for t in ("one", "two") for p in (202001, 202002)}
+    assert found == {("one", 202001): 4, ("two", 202001): 2, ("one", 202002): 1, ("two", 202002): 0}
+    assert sinks.publish({"one": df.filter("false")}, folder, 202003).first()["row_count"] == 0
+    with pytest.raises(ValueError):
+        sinks.read_published(spark, folder, "two", 202003)
+
+
+def test_suite_options(spark, df):
+    between = "expect_column_values_to_be_between"
+    suite = {"expectations": [{"expectation_type": between, "kwargs": {"column": "k", "min_value": 1, "strict_min": True, "mostly": m}} for m in (0.7, 0.8)]}
+    report = quality.validate(df, quality.expectations_of(suite)).collect()
+    assert [(r.violations, r.success) for r in report] == [(1, True), (1, False)]
+    assert quality.validate(df, []).count() == 0
+    assert quality.validate(df, [{"expect": "unique", "column": "absent"}]).collect()[0][2:] == (None, False)
+    with pytest.raises(ValueError):
+        quality.expectations_of({"expectations": [{"expectation_type": between, "kwargs": {"column": "k", "parse_strings_as_datetimes": True}}]})
 
 
 def test_result(spark, df):

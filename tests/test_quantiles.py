@@ -37,19 +37,19 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("small_rows", [q.SMALL_ROWS, 50, 0])
-def test_quantiles(spark, name, small_rows):
+@pytest.mark.parametrize("bucket_rows", [q.BUCKET_ROWS, 50, 0])
+def test_quantiles(spark, name, bucket_rows):
     values = CASES[name]
     fractions = [0.0, 0.1, 0.33, 0.5, 0.66, 0.8, 0.95, 0.999, 1.0]
-    got = q.exact_quantiles(frame(spark, values), ["v"], fractions, small_rows)["v"]
+    got = q.exact_quantiles(frame(spark, values), ["v"], fractions, bucket_rows)["v"]
     assert got == pytest.approx(list(np.quantile(values, fractions)), abs=1e-9)
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("small_rows", [q.SMALL_ROWS, 60])
-def test_rank(spark, name, small_rows):
+@pytest.mark.parametrize("bucket_rows", [q.BUCKET_ROWS, 60])
+def test_rank(spark, name, bucket_rows):
     values = CASES[name]
-    ranked = q.quantile_rank(frame(spark, values), {"v": "r"}, small_rows=small_rows).orderBy("k").collect()
+    ranked = q.quantile_rank(frame(spark, values), {"v": "r"}, bucket_rows=bucket_rows).orderBy("k").collect()
     got = np.array([r["r"] for r in ranked])
     assert got == pytest.approx(reference_rank(values), abs=1e-9)
     assert got.min() >= 0 and got.max() <= 1
@@ -70,17 +70,17 @@ def test_quantiles_of_nothing(spark):
 
 def test_several_columns_share_the_passes(spark):
     df = frame(spark, CASES["ties"]).withColumn("w", F.col("v") * -2)
-    got = q.exact_quantiles(df, ["v", "w"], {"v": [0.2, 0.7], "w": [0.5]}, small_rows=100)
+    got = q.exact_quantiles(df, ["v", "w"], {"v": [0.2, 0.7], "w": [0.5]}, bucket_rows=100)
     assert got["v"] == pytest.approx(list(np.quantile(CASES["ties"], [0.2, 0.7])))
     assert got["w"] == pytest.approx([-2 * np.quantile(CASES["ties"], 0.5)])
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("bucket_rows", [q.SMALL_ROWS, 40])
+@pytest.mark.parametrize("bucket_rows", [q.BUCKET_ROWS, 40])
 def test_lookup(spark, name, bucket_rows, monkeypatch):
     if bucket_rows < 100:
         # Few requests per share as well, so that hot buckets are dealt out.
-        monkeypatch.setattr(q, "SMALL_ROWS", bucket_rows)
+        monkeypatch.setattr(q, "BUCKET_ROWS", bucket_rows)
     values = CASES[name]
     ranking = q.rank_values(frame(spark, values), ["v"], bucket_rows=bucket_rows)
     fractions = [0.0] * 150 + [1.0] * 150 + list(rng.uniform(0, 1, 200)) + [None, 0.5]

@@ -66,7 +66,7 @@ def test_index_cuts_through_a_hot_key(spark, skewed, monkeypatch):
 
 def test_hot_fraction_is_dealt_out(spark, skewed, monkeypatch):
     """A third of the requests ask for the same fraction: no share gets more than its size."""
-    monkeypatch.setattr(quantiles, "SMALL_ROWS", 2000)
+    monkeypatch.setattr(quantiles, "BUCKET_ROWS", 2000)
     pool = skewed.select((F.col("id") * 7919 % 60000).cast("double").alias("v"))
     ranking = quantiles.rank_values(pool, ["v"], bucket_rows=2000)
     p = F.when(F.col("id") % 3 == 0, F.lit(0.25)).otherwise(F.col("id") / 59999)

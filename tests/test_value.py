@@ -42,7 +42,7 @@ def test_drift_and_money(spark, scored):
     assert got["bucket"].tolist() == list(range(101))
     assert got["delta"].tolist() == pytest.approx(want)
 
-    for bucket_rows in (quantiles.SMALL_ROWS, 50):
+    for bucket_rows in (quantiles.BUCKET_ROWS, 50):
         ranking = quantiles.rank_values(scored, ["prev"], bucket_rows=bucket_rows)
         money = value.percentile_to_value(
             scored, "m", {"y1": ("p", "prev", 1), "y3": ("p", "prev", 3)}, ranking, drift.withColumn("series", F.lit("prev"))
@@ -166,7 +166,7 @@ def test_campaign(spark):
     assert alarm["distance"] == pytest.approx(0.1) and alarm["alarm"]
 
 
-@pytest.mark.parametrize("bucket_rows", [quantiles.SMALL_ROWS, 20])
+@pytest.mark.parametrize("bucket_rows", [quantiles.BUCKET_ROWS, 20])
 def test_wasserstein(spark, bucket_rows):
     rng = np.random.default_rng(11)
     a = [0.0] * 100 + list(rng.normal(0, 1, 150))
