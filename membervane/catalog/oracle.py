@@ -560,6 +560,12 @@ FROM full_campaign
 CROSS JOIN (SELECT quantile_cont(predicted_margin_1, [0.0, 0.33, 0.66, 1.0]) AS qv FROM full_campaign WHERE every_flag)
 CROSS JOIN (SELECT quantile_cont(churn, [0.8, 0.9, 0.95, 1.0]) AS qc FROM full_campaign)
 WHERE every_flag""",
+    "campaign_publish": f"""SELECT member_id AS "MEMBER_ID", round(churn, 6) AS "CHURN", round(predicted_margin_1 * 0.9::DOUBLE, 6) AS "MARGIN_1Y",
+every_flag::INTEGER AS "MEETS_FILTERS", CASE WHEN every_flag THEN (1 + 3 * ({_band('predicted_margin_1', 'qv')}) + ({_band('churn', 'qc')}))::INTEGER END AS "SEGMENT",
+CASE WHEN predicted_margin_1 IS NOT NULL THEN 0.0::DOUBLE END AS "LTV_GAP"
+FROM full_campaign
+CROSS JOIN (SELECT quantile_cont(predicted_margin_1, [0.0, 0.33, 0.66, 1.0]) AS qv FROM full_campaign WHERE every_flag)
+CROSS JOIN (SELECT quantile_cont(churn, [0.8, 0.9, 0.95, 1.0]) AS qc FROM full_campaign)""",
     "campaign_everyone": """SELECT member_id, age, segment_name, round(churn, 6) AS churn,
 round(ltv_no_churn_predicted, 6) AS ltv_no_churn_predicted, round(predicted_margin_1 * 0.9::DOUBLE, 6) AS margin_1y,
 every_flag::INTEGER AS meets_filters FROM full_campaign""",

@@ -877,7 +877,11 @@ def prepare_members(spark, sf):
 
 
 def _values(spark, sf):
-    return lifetime.value_members(st.averages(spark, sf), "member_id", st.MODELS, ["member_id"])
+    return _valued(st.averages(spark, sf))
+
+
+def _valued(averages):
+    return lifetime.value_members(averages, "member_id", st.MODELS, ["member_id"])
 
 
 @query
@@ -888,11 +892,18 @@ def value_members(spark, sf):
     return rounded(_values(spark, sf).select("member_id", *kept))
 
 
-def _campaign(spark, sf):
-    scored = scoring.score_churn(st.averages(spark, sf), {"churn": st.CAMPAIGN_MODEL})
+def _campaign_frames(spark, sf):
+    """Value table, and the joined table with its flags."""
+    averages = stage(st.averages(spark, sf), "averages")
+    scored = scoring.score_churn(averages, {"churn": st.CAMPAIGN_MODEL})
     inputs = st.campaign_inputs(spark, sf).join(scored.select("member_id", "churn"), "member_id")
-    table = campaign_plan.campaign_table(inputs, _values(spark, sf), NAMES, ["member_id"])
-    flagged = campaign_plan.eligibility(stage(table, "campaign_table"), NAMES)
+    values = _valued(averages)
+    table = campaign_plan.campaign_table(inputs, values, NAMES, ["member_id"])
+    return values, campaign_plan.eligibility(stage(table, "campaign_table"), NAMES)
+
+
+def _campaign(spark, sf, flagged=None):
+    flagged = _campaign_frames(spark, sf)[1] if flagged is None else flagged
     columns = {
         "member_id": "member_id", "age": "age", "segment_name": "segment_name", "churn": "churn",
         "ltv_no_churn_predicted": "ltv_no_churn_predicted", "predicted_margin_1": "margin_1y",
@@ -910,3 +921,21 @@ def campaign_segments(spark, sf):
 def campaign_everyone(spark, sf):
     """All members with the eligibility flag: the campaign's second deliverable."""
     return rounded(_campaign(spark, sf)["everyone"])
+
+
+@query
+def campaign_publish(spark, sf):
+    """The campaign's tables published, and everyone's row read back with the segment of the clustered ones."""
+    values, flagged = _campaign_frames(spark, sf)
+    folder, period = scratch_path(spark, "campaign"), st.AS_OF_PERIOD
+    scores = flagged.select("member_id", "churn", "ltv_predicted", "ltv_no_churn_predicted")
+    campaign_plan.publish_campaign(_campaign(spark, sf, flagged), values.select("member_id", "ltv_predicted"), scores, folder, period)
+    people, clusters, worth, scored = (
+        sinks.read_published(spark, folder, name, period) for name in ("predictions", "clusters", "values", "scores")
+    )
+    worth = worth.withColumnRenamed("LTV_PREDICTED", "LTV")
+    joined = people.join(clusters.select("MEMBER_ID", "SEGMENT"), "MEMBER_ID", "left").join(worth, "MEMBER_ID", "left")
+    joined = joined.join(scored.select("MEMBER_ID", "LTV_PREDICTED"), "MEMBER_ID", "left")
+    return rounded(
+        joined.select("MEMBER_ID", "CHURN", "MARGIN_1Y", "MEETS_FILTERS", "SEGMENT", (F.col("LTV") - F.col("LTV_PREDICTED")).alias("LTV_GAP"))
+    )

@@ -299,16 +299,17 @@ def quantile_rank(
     columns: Mapping[str, str],
     n_quantiles: int = 100,
     bucket_rows: int | None = None,
+    sizes: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Add the rank of each value as a fraction of its column's distribution: ``{source: out}``.
 
     The distribution is described by ``min(n_quantiles, number of values)`` evenly spaced exact
     quantiles. Between two quantiles the fraction grows linearly; a value that several quantiles
     share gets the middle of their fractions; the smallest value gets 0 and the largest 1.
-    NULL and NaN give NULL.
+    NULL and NaN give NULL. ``sizes`` are the numbers of values, where they are known.
     """
     sources = list(columns)
-    sizes = count_values(df, sources)
+    sizes = sizes or count_values(df, sources)
     fractions = {}
     for c in sources:
         n = max(2, min(n_quantiles, sizes[c]))

@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from membervane import fixed_values as fixed
-from membervane.fixed_values import DRIFT_ALARM, TOP_CHURN_QUANTILE, VALUE_BOUNDS
+from membervane.fixed_values import CHURN_FRACTIONS, DRIFT_ALARM, TOP_CHURN_QUANTILE, VALUE_BOUNDS, VALUE_FRACTIONS
 from membervane.functions.flags import all_flags, eligible, within
 from membervane.functions.numeric import capped_ratio
 from membervane.operators.joins import attach_values
 from membervane.operators.quality import wasserstein
-from membervane.operators.quantiles import quantile_cuts
+from membervane.operators.quantiles import exact_quantiles, quantile_cuts
 from membervane.operators.rows import dedup_first
-from membervane.operators.schema import coerce_inputs, lower_columns, presence_report
-from membervane.operators.segments import deliverable, grid_cuts, grid_segments
+from membervane.operators.schema import coerce_inputs, drop_existing, lower_columns, presence_report, upper_columns
+from membervane.operators.segments import GridCuts, deliverable, grid_segments
+from membervane.sources.sinks import publish
 
 
 @dataclass(frozen=True)
@@ -76,21 +77,41 @@ def campaign(
     columns: Mapping[str, str] = fixed.CAMPAIGN_COLUMNS,
     order: Sequence[str] = ("id_titular",),
 ) -> dict[str, DataFrame]:
-    """Two deliverables: eligible members with their segment, and everyone with the flag.
+    """Two deliverables, eligible members with their segment and everyone with the flag; and ``clusters``, all
+    columns of the eligible members with their segment.
 
-    ``flagged`` is read several times; stage it first when it is expensive to compute.
+    ``flagged`` is read several times; stage it first when it is expensive to compute. Both sets of cuts come
+    from one pass over it.
     """
-    chosen = flagged.filter(F.col("meets_filters") == 1)
-    cuts = grid_cuts(chosen, flagged, names.value, names.churn)
-    segmented = grid_segments(chosen, cuts, names.value, names.churn)
+    chosen = F.col("meets_filters") == 1
+    asked = flagged.select(F.when(chosen, F.col(names.value)).alias("value"), F.col(names.churn).alias("churn"))
+    found = exact_quantiles(asked, ["value", "churn"], {"value": VALUE_FRACTIONS, "churn": CHURN_FRACTIONS})
+    cuts = GridCuts(tuple(found["value"]), tuple(found["churn"]))
+    segmented = grid_segments(flagged.filter(chosen), cuts, names.value, names.churn)
     with_segment = {**columns, "segment": "segment"}
     with_flag = {**columns, "meets_filters": "meets_filters"}
     return {
         "segments": deliverable(segmented, names.member, with_segment, names.value, order),
         "everyone": deliverable(flagged, names.member, with_flag, names.value, order),
+        "clusters": segmented,
     }
 
 
+def publish_campaign(
+    results: Mapping[str, DataFrame], values: DataFrame, scores: DataFrame, folder: str, period: int
+) -> DataFrame:
+    """Publish everyone's deliverable, the clustered members, the value table and the scores with the value
+    columns, with upper-case names; returns the manifest.
+    """
+    tables = {
+        "predictions": results["everyone"],
+        "clusters": results["clusters"],
+        "values": values,
+        "scores": scores,
+    }
+    return publish({name: upper_columns(drop_existing(df, ["index"])) for name, df in tables.items()}, folder, period)
+
+
 def score_drift(new: DataFrame, training: DataFrame, col: str, alarm: float = DRIFT_ALARM) -> DataFrame:
     """Distance of the new scores from the training scores, and whether it is too large."""
     distance = wasserstein(training, new, col, col)

@@ -17,7 +17,7 @@ from membervane.functions.numeric import (
     row_mean,
 )
 from membervane.functions.text import text_prefix
-from membervane.operators.quantiles import quantile_rank, rank_values
+from membervane.operators.quantiles import count_values, quantile_rank, rank_values
 from membervane.operators.rows import dedup_first
 from membervane.operators.schema import (
     coerce_inputs,
@@ -96,7 +96,8 @@ def member_values(
     predictions += [f"churn_{y}" for y in YEARS]
     narrow = yearly.select(key, *[c for c in order if c != key], *predictions, *money)
     ranked = stage(narrow, "yearly")
-    placed = quantile_rank(ranked, money)
+    sizes = count_values(ranked, list(money))
+    placed = quantile_rank(ranked, money, sizes=sizes)
 
     # Distributions come from all rows, predictions are made for one row per member.
     series = {
@@ -107,7 +108,7 @@ def member_values(
         f"predicted_{m}_{y}": (f"p_{m}_{y}", f"{m}_prev", y) for m in ("income", "cost") for y in YEARS
     }
     members = dedup_first(ranked.select(key, *[c for c in order if c != key], *predictions), [key], order)
-    pools = rank_values(ranked, list(series))
+    pools = rank_values(ranked, list(series), {s: sizes[s] for s in series})
     valued = members.join(percentile_to_value(members, key, requests, pools, drifts), key, "left")
 
     margins = {
