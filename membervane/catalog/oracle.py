@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from membervane.catalog import standins as st
-from membervane.fixed_values import MONTH_TAGS, SEGMENT_LABELS
+from membervane.fixed_values import CATEGORICAL_INPUTS, INCOME_CAP, MONTH_TAGS, NUMERIC_INPUTS, SEGMENT_LABELS
 
 AS_OF = f"DATE '{st.AS_OF}'"
 
@@ -478,6 +478,17 @@ CAST(month + INTERVAL 1 MONTH AS DATE)::VARCHAR AS next FROM order_month""",
     "parse_mixed_dates": f"SELECT order_id, end_text, {_end_period('end_text')} AS end_period FROM side",
     "clean_text": f"SELECT p_partkey, p_type, {_cleaned('p_brand')} AS cleaned FROM part",
     "plan_tier": f"""SELECT p_partkey AS cod_categoria, {_tier('p_brand', ", 'Brand#17'")} AS tier FROM part""",
+    "campaign_input_report": f"""SELECT * FROM (WITH names AS (SELECT unnest({[*CATEGORICAL_INPUTS, *NUMERIC_INPUTS]!r}) AS "column"), m AS (
+SELECT count(DISTINCT member_id) AS n FROM order_month WHERE period = 199803), filled AS (
+SELECT count(*) FILTER (WHERE order_id % 5 <> 0) AS uf FROM (SELECT min(order_id) AS order_id FROM order_month WHERE period = 199803 GROUP BY member_id))
+SELECT "column", "column" IN ('linea_plan', 'edad', 'renta_imponible_uf', 'renta_imponible', 'valor_uf') AS present,
+CASE WHEN "column" = 'renta_imponible_uf' THEN uf WHEN "column" IN ('linea_plan', 'edad', 'renta_imponible', 'valor_uf') THEN n ELSE 0 END AS filled
+FROM names, m, filled)""",
+    "score_raw_members": f"""SELECT * FROM (WITH shares AS (SELECT urgent, avg((status = 'F')::INTEGER) AS p FROM order_month GROUP BY urgent)
+SELECT m.member_id AS id_titular, round(CASE WHEN m.order_id % 5 = 0 THEN NULL ELSE least(o_totalprice / 2000.0::DOUBLE, {INCOME_CAP}) END, 6) AS renta_imponible_uf,
+round(p, 4) AS prob_fuga
+FROM order_month m JOIN orders ON o_orderkey = m.order_id JOIN shares USING (urgent)
+WHERE period = 199803 QUALIFY row_number() OVER (PARTITION BY m.member_id ORDER BY m.order_id) = 1)""",
     "capped_ratio": """SELECT l_orderkey, l_linenumber, round(CASE WHEN l_quantity = 7 OR l_quantity = 3 THEN NULL
 WHEN l_extendedprice / (l_quantity - 3) >= 1500 THEN 1500 ELSE l_extendedprice / (l_quantity - 3) END, 9) AS ratio FROM lineitem""",
     "clamp": """SELECT member_id, round(least(greatest(b / 5000, 0), 1), 6) AS share, round(greatest(b, 0), 6) AS positive

@@ -6,7 +6,8 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -735,6 +736,49 @@ def score_ml_model(spark, sf):
     return rounded(scored.select("member_id", "churn"))
 
 
+def _raw_members(spark, sf):
+    """Orders in the shape of an export: upper-case names, several rows of a member in a month."""
+    orders = st.table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("RENTA_IMPONIBLE"))
+    months = st.order_month(spark, sf).join(orders, "order_id")
+    return months.select(
+        F.col("order_id").alias("ORDER_ID"),
+        F.col("member_id").alias("ID_TITULAR"),
+        F.col("period").alias("PERIODO"),
+        F.col("RENTA_IMPONIBLE"),
+        F.when(F.col("order_id") % 5 == 0, 0.0).otherwise(2000.0).alias("VALOR_UF"),
+        F.col("status").alias("LINEA_PLAN"),
+        F.col("urgent").cast("string").alias("EDAD"),
+    )
+
+
+@query
+def campaign_input_report(spark, sf):
+    """Which of the 44 model inputs a raw month has."""
+    rows = tables.scan_period(_raw_members(spark, sf), dates.check_period("199803"), column="PERIODO")
+    shaped = campaign_plan.shape_inputs(rows, campaign_plan.CampaignNames(), ["order_id"])
+    return campaign_plan.input_report(shaped)
+
+
+@query
+def score_raw_members(spark, sf):
+    """A raw month to scores: one typed row per member, scored by a fitted pipeline with a probability vector.
+
+    The model is a logistic regression on one yes-or-no input, whose probabilities are the shares of its groups.
+    """
+    raw = _raw_members(spark, sf)
+    rows = tables.scan_period(raw, dates.check_period("199803"), column="PERIODO")
+    shaped = campaign_plan.shape_inputs(rows, campaign_plan.CampaignNames(), ["order_id"])
+    history_rows = raw.select(F.col("EDAD").cast("double").alias("edad"), (F.col("LINEA_PLAN") == "F").cast("double").alias("label"))
+    counts = stage(history_rows.groupBy("edad", "label").agg(F.count(F.lit(1)).cast("double").alias("n")), "training")
+    vectors = VectorAssembler(inputCols=["edad"], outputCol="features", handleInvalid="keep")
+    model = LogisticRegression(weightCol="n", maxIter=500, tol=1e-14)
+    fitted = Pipeline(stages=[vectors, model]).fit(counts)
+    path = scratch_path(spark, "model")
+    fitted.save(path)
+    scored = scoring.score_model(shaped, PipelineModel.load(path), "prob_fuga")
+    return scored.select("id_titular", F.round("renta_imponible_uf", 6).alias("renta_imponible_uf"), F.round("prob_fuga", 4).alias("prob_fuga"))
+
+
 @query
 def wasserstein(spark, sf):
     return rounded(quality.wasserstein(st.table(spark, sf, "customer"), st.table(spark, sf, "supplier"), "c_acctbal", "s_acctbal"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from membervane import fixed_values as fixed
 from membervane.fixed_values import DISCOUNT_RATE, SEGMENT_LABELS
+from membervane.functions.dates import period_date
 from membervane.functions.numeric import (
     lifetime_value,
     lifetime_value_no_churn,
@@ -55,9 +56,13 @@ def shape_inputs(
 ) -> DataFrame:
     """Simplified categories, no future or code columns, typed model inputs that exist.
 
-    Window averages are numeric whether listed or not.
+    Window averages are numeric whether listed or not; the period and the date of entry become dates.
     """
-    df = drop_existing(lower_columns(df), fixed.DROPPED_BEFORE_SCORING)
+    df = lower_columns(df)
+    dates = {"periodo": period_date(F.col("periodo")), "fechaingreso": F.col("fechaingreso").try_cast("date")}
+    types = dict(df.dtypes)
+    df = df.withColumns({c: day for c, day in dates.items() if types.get(c, "date") not in ("date", "timestamp")})
+    df = drop_existing(df, fixed.DROPPED_BEFORE_SCORING)
     df = rename_map(rename_if(df, "categoria_gls", "categor__a_gls"), fixed.RENAMED_BEFORE_SCORING)
     for source, out in (
         ("categor__a_gls", "categ_simplificada"),

@@ -20,6 +20,7 @@ from membervane.operators.schema import (
     lower_columns,
     rename_if,
     require_columns,
+    resolve_column,
     rtrim_columns,
     try_cast_columns,
     with_constants,
@@ -63,6 +64,23 @@ def shape_side(side: DataFrame, member: str = "id_titular", period: str = "perio
     return drop_unparsed(side.withColumn(period, period_date(F.col(period))), "fld_pertermino")
 
 
+# Spellings of the region table's columns, as they come from its exports.
+REGION_COLUMNS = {
+    "cod_region": ("COD_REGION", "cod_region"),
+    "gls_web_region": ("GLS_WEB_REGION", "gls_web_region"),
+    "norte_centro_sur": ("norte_centro_sur", "NORTE_CENTRO_SUR", "Unnamed: 3"),
+}
+
+
+def shape_regions(regions: DataFrame, table: str = "region table") -> DataFrame:
+    """The three columns of the region table, found in any of their spellings."""
+    found = {out: resolve_column(regions, *names) for out, names in REGION_COLUMNS.items()}
+    absent = [out for out, name in found.items() if name is None]
+    if absent:
+        raise ValueError(f"{table} lacks columns: {', '.join(absent)}")
+    return regions.select(*[F.col(f"`{name}`").alias(out) for out, name in found.items()])
+
+
 def prepare(
     fact: DataFrame,
     side: DataFrame,
@@ -91,7 +109,7 @@ def prepare(
 
     geo = with_region(
         communes(lower_columns(lookups.commune_socio), lower_columns(lookups.commune_codes)),
-        lower_columns(lookups.regions).select("cod_region", "gls_web_region", "norte_centro_sur"),
+        shape_regions(lookups.regions),
     )
     df = with_geo(df, geo)
 

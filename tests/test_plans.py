@@ -194,3 +194,17 @@ def test_preparation_stays_in_generated_code(spark):
     finally:
         spark.conf.set("spark.sql.codegen.fallback", before)
         spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
+def test_region_columns_in_other_spellings(spark):
+    rows = spark.createDataFrame([(13, "RM", "centro")], "COD_REGION int, gls_web_region string, `Unnamed: 3` string")
+    assert preparation.shape_regions(rows).columns == ["cod_region", "gls_web_region", "norte_centro_sur"]
+    with pytest.raises(ValueError, match="divisions lacks columns: norte_centro_sur"):
+        preparation.shape_regions(rows.drop("Unnamed: 3"), "divisions")
+
+
+def test_dates_of_value_inputs(spark):
+    rows = spark.createDataFrame([(1, 202401, "2020-02-03"), (2, 202413, "no date")], "id int, PERIODO int, FechaIngreso string")
+    shaped = lifetime.shape_inputs(rows)
+    kept = [c for c in ("periodo", "fechaingreso") if c in shaped.columns]
+    assert all(dict(shaped.dtypes)[c] == "date" for c in kept)
