@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from membervane.llm.common import staged, with_column
+from membervane.llm.common import slices, staged, with_column
 
 #: Bits of the gear hash; as each byte shifts it by one, it depends on so many last bytes.
 GEAR_BITS = 16
@@ -129,7 +129,7 @@ def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     schema = with_column(docs.select(*names), "bytes_removed", T.IntegerType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, removed = batch["text"].tolist(), np.zeros(len(batch), np.int32)
             for k, rows in enumerate(batch.pop("_spans")):
                 if rows is None or texts[k] is None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """Batches cut into smaller ones, so that what a function returns at once stays small beside what it was given."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows].reset_index(drop=True)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from membervane.llm.common import with_column
+from membervane.llm.common import slices, with_column
 
 #: n-grams are told apart by so many bits of a multiplicative hash.
 BITS = 20
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, per_language: int = 150, landmarks: int = 160, rid
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, is_letter = model.value, letters()
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch["text"].tolist()
             lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
             for at in range(0, len(texts), BATCH):

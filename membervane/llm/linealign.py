@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from membervane.llm.common import staged, with_column
+from membervane.llm.common import slices, staged, with_column
 
 #: Lines emitted at once.
 ROWS = 200_000
@@ -153,7 +153,7 @@ def dedup_lines(docs: DataFrame, rare_documents: int = 20, long_words: int = 8)
     schema = with_column(docs.select(*names), "lines_removed", T.IntegerType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, removed = batch["text"].tolist(), [0] * len(batch)
             for k, rows in enumerate(batch.pop("_shared")):
                 if rows is None or texts[k] is None:

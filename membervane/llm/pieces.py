@@ -22,13 +22,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from membervane.llm.common import nullable
+from membervane.llm.common import nullable, slices
 
 #: The sign that stands for a blank.
 BLANK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words of one length that advance together; words whose ids are kept; a word is searched for safe cuts from this length.
-TOGETHER, KEPT, LONG = 20_000, 250_000, 24
+TOGETHER, KEPT, LONG = 10_000, 120_000, 24
 #: Fewer than four words of this length or more advance one by one.
 ALONE = 64
 #: Bits of the table of first bits of hashes, and of the table of verdicts on pairs.
@@ -298,7 +298,7 @@ def _mapped(docs: DataFrame, model_file: str, *outputs: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = load(model.value)
-        for batch in batches:
+        for batch in slices(batches):
             for name in outputs:
                 batch[name] = _OUTPUTS[name][1](pieces, batch)
             yield batch
