@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
 import os
+import sys
 
 import duckdb
 import pytest
@@ -40,5 +42,18 @@ def test_query(spark, db, name):
     assert difference(rows, db.sql(all_oracles()[name]).df()) is None
 
 
+def test_text_part_is_optional(monkeypatch):
+    """Without the pipeline or the text operators the other queries are still registered."""
+    core = all_queries().keys()
+    for missing in ("corpus_pipeline", "membervane.llm"):
+        with monkeypatch.context() as m:
+            for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("membervane.llm")]:
+                m.delitem(sys.modules, name)
+            m.setitem(sys.modules, missing, None)
+            bare = importlib.reload(entry)
+            assert bare.queries().keys() == core and bare.oracle_sql().keys() == all_oracles().keys()
+    importlib.reload(entry)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns[0] == "member_id"
