@@ -40,6 +40,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
+UNSEEN = {"script", "style", "noscript", "template"}
 # A start tag of the key ends open elements of the value, up to the next container.
 CLOSES = {
     **dict.fromkeys(
@@ -136,7 +137,7 @@ def parse(page: str) -> Page:
         at = m.end()
         closing, name, raw = (m[2], m[3], m[4]) if m[3] else (m[5], m[6], m[7])
         if name is None:
-            if m[1]:
+            if m[1] and m[1].lower() not in UNSEEN:
                 block += 1
             continue
         name = name.lower()

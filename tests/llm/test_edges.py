@@ -139,6 +139,23 @@ def test_odd_pages(spark):
     assert templates.extract(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><h1>T</h1><p>one</p><aside>side</aside><div class='comments'><p>c</p></div><p>two</p><footer>by</footer></article>", "T one two"),
+        ("<body><header><h1>Site</h1><nav>n</nav></header><main><h1>T</h1><p>body</p><form><label>q</label></form></main><footer>f</footer>", "T body"),
+        ("<main><article><header><h1>T</h1></header><p>body</article><aside>s</aside></main>", "T body"),
+        ("<div id=page><div id=top-nav><a>home</a></div><div id=main-content><h2>T</h2><p>some body text</p></div><div id=sidebar><p>side " + "long " * 20 + "</div></div>", "T some body text"),
+        ("<article><p class=notice>note</p><p>real &lt;b&gt; &#x41;&nbsp;x<ul><li>a<li>b</ul></article>", "real <b> A x a b"),
+        ("<article><p>a<script>if(a<b){}</script>b</p><style>x{}</style></article>", "ab"),
+        ("<article><p title='a > b' data-x=\"<p>\">text 1 < 2</p></article>", "text 1 < 2"),
+        ("<article><p>a</p><p style='display: none'>b</p><div hidden>c</div><div class=advertisement>buy</div></article>", "a"),
+    ],
+)
+def test_kinds_of_pages(page, text):
+    assert templates.joined(templates.main_nodes(templates.parse(page), set())) == text
+
+
 def test_hot_line_passage_and_copies(spark):
     line = "a line of nine words that many documents hold verbatim"
     passage = " ".join(f"word{k}" for k in range(60))
