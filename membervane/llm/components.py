@@ -37,16 +37,16 @@ def connected(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = staged(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("u") != F.col("v"))).distinct(), "links")
-    before = None
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
+        # Done when every node has one smaller neighbour, which itself has none.
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.union(edges.select("v", F.lit(0), F.lit(1))).groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not ends.where("up > 1 or (up = 1 and down = 1)").agg(F.count(F.lit(1))).first()[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = state
         both = edges.select(F.col("v").alias("x"), F.col("u").alias("y")).union(edges.select("u", "v"))
         lowest = staged(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m")), "large-star")
         edges = edges.join(lowest, edges.v == lowest.x).select("u", F.col("m").alias("v"))
-        edges = staged(edges.where("u != v").distinct(), "links")
+        edges = staged(edges.where("u != v"), "links")
         lowest = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "small-star")
         moved = edges.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         edges = staged(moved.union(lowest.select("u", "m")).distinct(), "links")
