@@ -30,7 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that an earlier one holds; those of which nothing is left go."""
-    kept = linealign.dedup_lines(docs.select(*COLUMNS))
+    kept = linealign.dedup_blocks(docs.select(*COLUMNS))
     kept = kept.where((F.col("lines_removed") == 0) | (F.trim(F.col("text")) != ""))
     return kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long"))).select(*COLUMNS)
 

@@ -53,7 +53,7 @@ def op3_improbable_features(spark, sf):
 @query
 def op4_line_alignment(spark, sf):
     """What each document keeps: lines removed, and length and checksum of the text that stays."""
-    docs = linealign.dedup_lines(read(spark, sf, "documents").select("doc_id", "text"))
+    docs = linealign.dedup_blocks(read(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "lines_removed", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
