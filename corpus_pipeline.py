@@ -17,6 +17,8 @@ from membervane.session import tune
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document whose language is known less surely than this is no prose in any of the languages.
 LEAST_SCORE = 0.2
+#: Any character but the white space that lines are stripped of.
+NOT_BLANK = r"(?U)[^\s\x1C-\x1F]"
 #: Near duplicates: shingles of five words, fingerprints of 256 bits. Texts that share 0.8 of their shingles differ in 39 bits
 #: on average (deviation 5.7), unrelated ones in 128 (deviation 8).
 SHINGLE, FINGERPRINT_WORDS, RADIUS = 5, 4, 48
@@ -31,7 +33,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that an earlier one holds; those of which nothing is left go."""
     kept = linealign.dedup_blocks(docs.select(*COLUMNS))
-    kept = kept.where((F.col("lines_removed") == 0) | (F.trim(F.col("text")) != ""))
+    kept = kept.where((F.col("lines_removed") == 0) | F.col("text").rlike(NOT_BLANK))
     return kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long"))).select(*COLUMNS)
 
 

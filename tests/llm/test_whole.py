@@ -75,3 +75,13 @@ def test_blocks_of_short_lines_go_in_any_number_of_copies(spark):
     assert found[0] == texts[0]
     assert all(found[k] == f"own {k}\nmine {k}\nhers {k}" for k in range(1, 30))  # the block of verse and OK
     assert all(found[k] == texts[k] for k in range(30, 60))  # one short line that 60 documents hold
+
+
+def test_documents_without_a_word_go(spark):
+    import corpus_pipeline
+
+    text = "The house is by the river and the old mill.\n\n \n\nAnd the second line stands here as it did before."
+    rows = [(k, text, "en", "a", len(text)) for k in range(3)] + [(7, " \n ", "en", "a", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.dedup_lines(spark, docs, "").collect()
+    assert {r.doc_id: r.text for r in found} == {0: text, 7: " \n "}
