@@ -63,6 +63,48 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+# The checksum of a decimal number, byte by byte and bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)),
+                             lambda y, i: xor(y >> 1, CASE WHEN y % 2 = 1 THEN 3988292384 ELSE 0 END)::BIGINT)))::BIGINT"""
+
+OP13 = rf"""
+WITH t AS (
+  SELECT conv_id::BIGINT AS conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), g AS (
+  SELECT *, md5(length(role) || ':' || role || text) AS digest, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS words FROM t
+), o AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) AS place FROM g
+), h AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS giver, {CRC32} % 4 AS head FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT h.conv_id, o.place, o.digest, o.words FROM h JOIN o ON o.conv_id = h.giver AND o.place <= h.head
+  UNION ALL
+  SELECT conv_id, place, digest, words FROM o JOIN h USING (conv_id) WHERE place > head
+), p AS (
+  SELECT conv_id, words, ROW_NUMBER() OVER w AS depth, md5(string_agg(digest, '') OVER w) AS node
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+), q AS (
+  SELECT conv_id, words, depth, node, COALESCE(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), '') AS parent FROM p
+  UNION ALL SELECT conv_id, 0, 0, '', NULL FROM h
+), n AS (
+  SELECT node, parent, depth, words, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs FROM q GROUP BY ALL
+), c AS (
+  SELECT parent AS node, COUNT(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY ALL
+), m AS (
+  SELECT n.*, COALESCE(n_children, 0) AS n_children FROM n LEFT JOIN c USING (node)
+), s AS (
+  SELECT q.node, SUM((m.n_convs - 1) * m.words)::BIGINT AS saved_tokens, COUNT(*) FILTER (m.n_children = 0) AS n_leaves
+  FROM m JOIN q ON q.conv_id = m.conv_id AND q.depth <= m.depth GROUP BY ALL
+), e AS (
+  SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, arg_max(node, depth) AS node FROM q GROUP BY ALL) GROUP BY ALL
+)
+SELECT m.conv_id, m.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, COALESCE(ends_sha256, sha256('')) AS ends_sha256
+FROM m JOIN s USING (node) LEFT JOIN e USING (node) LEFT JOIN n u ON u.node = m.parent
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mtree": OP1, "op8_pareto_mix": OP8}
+    return {"op1_mtree": OP1, "op8_pareto_mix": OP8, "op13_prefix_trie": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import chunks, digests, language, linealign, mixing, mtree, pieces, simhash, templates, tokencount
+from membervane.llm import chunks, digests, language, linealign, mixing, mtree, pieces, prefixtrie, simhash, templates, tokencount
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -98,3 +98,10 @@ def op9_language(spark, sf):
 def op10_templates(spark, sf):
     pages = templates.extract(read(spark, sf, "pages"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    """The trie of all conversations, each begun with the first turns of its group's first one."""
+    turns = prefixtrie.turns_of(read(spark, sf, "conversations"))
+    return prefixtrie.trie(*prefixtrie.share_heads(turns, every=20, most=4))
