@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from membervane.llm import chunks, digests, language, linealign, mixing, mtree, pieces, prefixtrie, simhash, templates, tokencount
+from membervane.llm import chunks, digests, language, linealign, mixing, mtree, personal, pieces, prefixtrie, repair, simhash, templates, tokencount
 from membervane.llm.common import read
 from membervane.session import tune
 
@@ -105,3 +105,23 @@ def op13_prefix_trie(spark, sf):
     """The trie of all conversations, each begun with the first turns of its group's first one."""
     turns = prefixtrie.turns_of(read(spark, sf, "conversations"))
     return prefixtrie.trie(*prefixtrie.share_heads(turns, every=20, most=4))
+
+
+@query
+def op11_structure_repair(spark, sf):
+    """Damaged conversations: their faults, the cheapest edits and a hash of what these give."""
+    rows = read(spark, sf, "conversations")
+    return repair.audit(repair.damage(rows), rows.select("conv_id"))
+
+
+@query
+def op12_anchor_expansion(spark, sf):
+    """Personal data in every text: numbers of the base kinds, a hash of their spans, and all spans."""
+    found = personal.find_spans(read(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    base = personal.as_text(F.col("spans"), personal.BASE)
+    return found.select(
+        "doc_id",
+        *[personal.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in personal.BASE],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        personal.as_text(F.col("spans")).alias("spans"),
+    )
