@@ -77,14 +77,17 @@ def _ip(text: str, start: int) -> tuple[list[tuple[str, int, int]], int]:
     return spans, chain.end()
 
 
-def _address(text: str, start: int, end: int) -> tuple[str, int, int] | None:
-    """A scheme with the target behind it, if that names someone: a mailbox, a number, a login, or a machine by its number."""
+def _address(text: str, start: int, end: int) -> tuple[tuple[str, int, int] | None, int]:
+    """A scheme with the target behind it, if that names someone: a mailbox, a number, a login, or a machine by its number. And the end of what was read."""
     target = TARGET.match(text, end)
     if target is None or (start and LETTER.match(text[start - 1])):
-        return None
-    kept = target.group().rstrip(".,;:!?'")
-    while kept.endswith(")") and kept.count(")") > kept.count("("):
-        kept = kept[:-1].rstrip(".,;:!?'")
+        return None, end
+    kept = target.group()
+    stop, unopened = len(kept), kept.count(")") - kept.count("(")
+    while stop and (kept[stop - 1] in ".,;:!?'" or (kept[stop - 1] == ")" and unopened > 0)):
+        stop -= 1
+        unopened -= kept[stop] == ")"
+    kept = kept[:stop]
     scheme = text[start:end].lower()
     if scheme in ("mailto:", "sip:"):
         valid = bool(re.match(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]", kept))
@@ -93,7 +96,7 @@ def _address(text: str, start: int, end: int) -> tuple[str, int, int] | None:
     else:
         host = HOST.match(kept)
         valid = host is not None and ("@" in kept[: host.end(1)] or host.group(1)[0] == "[" or host.group(1).replace(".", "").isdigit())
-    return ("address", start, end + len(kept)) if valid else None
+    return ("address", start, end + len(kept)) if valid else None, target.end()
 
 
 def _account(text: str, start: int, end: int) -> tuple[str, int, int] | None:
@@ -118,7 +121,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     targets of schemes that name a person or a machine, and identifiers behind a cue.
     """
     spans: list[tuple[str, int, int]] = []
-    mail = ip = card = 0  # ends of what was taken
+    mail = ip = card = address = 0  # ends of what was taken
     lower = text.lower()
     if len(lower) != len(text):  # some capitals become two characters
         lower = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
@@ -137,7 +140,9 @@ def find(text: str) -> list[tuple[str, int, int]]:
             if called and 9 <= sum("0" <= c <= "9" for c in called.group()) <= 15:
                 spans.append(("phone", *called.span()))
         elif anchor == "scheme":
-            spans.append(_address(text, at, last + 1))
+            if at >= address:
+                found, address = _address(text, at, last + 1)
+                spans.append(found)
         elif anchor == "cue":
             spans.append(_account(text, at, last + 1))
         else:
