@@ -134,6 +134,36 @@ _spans = {"1to6m": (1, 6), "7to12m": (7, 12), "13to24m": (13, 24)}
 _measures = ("income", "cost", "margin")
 _average_columns = [f"{m}_mva_{s}" for m in _measures for s in _spans]
 
+_categories = ("priority", "status", "segment_name")
+
+
+def _probability(label: str, condition: str) -> str:
+    """Chance that a single boosted tree gives its leaf: the mean of the labels -1 and 1 is half the log-odds."""
+    return f"1 / (1 + exp(-2 * (SELECT avg(2 * {label} - 1) FROM trained WHERE {condition})))"
+
+
+def _tree_outputs() -> str:
+    low, dear = "coalesce(priority = '5-LOW', FALSE)", "coalesce(priority IN ('1-URGENT', '2-HIGH'), FALSE)"
+    half, quarter = "coalesce(season <= 6, FALSE)", "coalesce(season <= 3, FALSE)"
+    out = []
+
+    def mean(label: str, condition: str) -> str:
+        return f"(SELECT avg({label}) FROM trained WHERE {condition})"
+
+    for y in (1, 2, 3):
+        a, b = f"income_label_{y}", f"cost_label_{y}"
+        out.append(f"round(CASE WHEN {half} THEN {mean(a, half)} WHEN {dear} THEN {mean(a, f'NOT {half} AND {dear}')} "
+                   f"ELSE {mean(a, f'NOT {half} AND NOT {dear}')} END, 8) AS income_{y}")
+        out.append(f"round(CASE WHEN {low} THEN {mean(b, low)} WHEN {quarter} THEN {mean(b, f'NOT {low} AND {quarter}')} "
+                   f"ELSE {mean(b, f'NOT {low} AND NOT {quarter}')} END, 8) AS cost_{y}")
+        c = f"churn_label_{y}"
+        out.append(f"round(CASE WHEN {half} THEN {_probability(c, half)} ELSE {_probability(c, f'NOT {half}')} END, 8) AS churn_{y}")
+    out.append(f"round(CASE WHEN {dear} THEN {_probability('campaign_label', dear)} ELSE {_probability('campaign_label', f'NOT {dear}')} END, 8) AS churn_campaign")
+    return ", ".join(out)
+
+
+_level_counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS level FROM {{0}}" for c in _categories)
+
 VIEWS: dict[str, str] = {
     "member": """
   SELECT c_custkey AS member_id, c_nationkey AS region_code, c_acctbal AS balance,
@@ -277,6 +307,25 @@ VIEWS: dict[str, str] = {
 }
 
 
+VIEWS |= {
+    "contracts": f"""
+  SELECT *, (order_id % 10 < CASE WHEN coalesce(priority IN ('1-URGENT', '2-HIGH'), FALSE) THEN 7 ELSE 2 END)::INTEGER AS campaign_label,
+         {", ".join(f"(income + order_id % 7 + {y}) / 100.0::DOUBLE AS income_label_{y}, (cost + order_id % 5 + {y}) / 100.0::DOUBLE AS cost_label_{y}, (order_id % 10 < leaving + {y})::INTEGER AS churn_label_{y}" for y in (1, 2, 3))}
+  FROM (SELECT *, CASE WHEN season <= 6 THEN 20 WHEN priority IN ('1-URGENT', '2-HIGH') THEN 50 ELSE 80 END AS income,
+               CASE WHEN priority = '5-LOW' THEN 90 WHEN season <= 3 THEN 10 ELSE 40 END AS cost, CASE WHEN season <= 6 THEN 2 ELSE 6 END AS leaving
+        FROM (SELECT order_id, period, status, segment_name, CASE WHEN order_id % 13 <> 0 THEN month(month) END AS season,
+                     CASE WHEN order_id % 17 <> 0 THEN o_orderpriority END AS priority
+              FROM order_month JOIN orders ON o_orderkey = order_id JOIN (SELECT member_id, segment_name FROM member) USING (member_id)
+              WHERE period >= {st.TRAINED_TO} OR (o_orderpriority <> '3-MEDIUM' AND segment_name <> 'MACHINERY')))""",
+    "trained": f"SELECT * FROM contracts WHERE period < {st.TRAINED_TO}",
+    "later": f"SELECT * FROM contracts WHERE period >= {st.TRAINED_TO}",
+    "trained_levels": f"""
+  SELECT column_name, level, (row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, level) - 1)::INTEGER AS position, count(*) AS held
+  FROM ({_level_counts.format("trained")}) WHERE level IS NOT NULL GROUP BY column_name, level""",
+    "later_levels": f"SELECT column_name, level, count(*) AS held FROM ({_level_counts.format('later')}) GROUP BY column_name, level",
+}
+
+
 def _with(body: str) -> str:
     """Prefix a query with the views it uses, directly or through other views."""
     used: set[str] = set()
@@ -509,6 +558,18 @@ FROM scored s LEFT JOIN pred_income_1 a USING (member_id) LEFT JOIN pred_income_
 LEFT JOIN pred_income_3 c USING (member_id)""",
     "score_linear": "SELECT member_id, round(churn, 8) AS churn, round(p_income_1, 8) AS p_income FROM scored",
     "score_ml_model": "SELECT member_id, round(churn, 6) AS churn FROM scored",
+    "publish_race": "SELECT order_id, member_id, status, period, TRUE AS is_listed, 1 AS lost, 3 AS n_tables FROM order_month WHERE period = 199803",
+    "level_table": 'SELECT column_name AS "column", level, position, held AS "rows" FROM trained_levels',
+    "level_report": """SELECT coalesce(l.column_name, t.column_name) AS "column", coalesce(sum(l.held), 0)::BIGINT AS "rows",
+coalesce(sum(l.held) FILTER (l.column_name IS NOT NULL AND l.level IS NULL), 0)::BIGINT AS missing,
+coalesce(sum(l.held) FILTER (t.level IS NOT NULL), 0)::BIGINT AS known,
+coalesce(sum(l.held) FILTER (l.level IS NOT NULL AND t.level IS NULL), 0)::BIGINT AS unseen,
+count(*) FILTER (l.level IS NOT NULL AND t.level IS NULL) AS unseen_levels, count(*) FILTER (l.column_name IS NULL) AS absent_levels
+FROM later_levels l FULL JOIN trained_levels t ON t.column_name = l.column_name AND t.level = l.level GROUP BY 1""",
+    "with_levels": "SELECT order_id, " + ", ".join(
+        f"CASE WHEN {c} IS NULL OR {c} IN (SELECT level FROM trained_levels WHERE column_name = '{c}') THEN {c} ELSE '(unseen)' END AS {c}" for c in _categories
+    ) + " FROM later",
+    "score_trees": f"SELECT order_id, {_tree_outputs()} FROM later",
     "wasserstein": _distance.format(
         union="SELECT c_acctbal AS v, 1 AS a FROM customer UNION ALL SELECT s_acctbal, 0 FROM supplier",
         out="round(d, 6) AS distance",
@@ -583,5 +644,8 @@ every_flag::INTEGER AS meets_filters FROM full_campaign""",
 }
 
 
+BODIES["history_carried"] = BODIES["history_flags"]
+
+
 def all_oracles() -> dict[str, str]:
     return {name: _with(body) for name, body in BODIES.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -17,11 +18,11 @@ from membervane.catalog import standins as st
 from membervane.fixed_values import CHURN_FRACTIONS, NO_END_PERIOD, SEGMENT_LABELS, VALUE_FRACTIONS
 from membervane.functions import dates, flags, numeric, text
 from membervane.functions.text import label
-from membervane.operators import history, joins, quality, quantiles, rows, schema, scoring, segments, value
+from membervane.operators import carried, ensembles, history, joins, levels, quality, quantiles, rows, schema, scoring, segments, value
 from membervane.plans import campaign as campaign_plan
 from membervane.plans import lifetime, preparation
 from membervane.session import scratch_path, stage, tune
-from membervane.sources import sinks, tables
+from membervane.sources import sinks, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -122,6 +123,26 @@ def republish_empty(spark, sf):
     return found[0].unionByName(found[1])
 
 
+@query
+def publish_race(spark, sf):
+    """Two publishers of one month start from the same version: one wins, and nothing of the other is left."""
+    months = st.order_month(spark, sf).select("order_id", "member_id", "status", "period")
+    month = months.where(F.col("period") == 199803)
+    folder = scratch_path(spark, "race")
+    versions.commit(folder, {"orders": months.where(F.col("period") == 199802)}, 199802)
+    base = versions.version_of(spark, folder).number
+    versions.commit(folder, {"orders": month, "members": month.select("member_id").distinct()}, 199803, base)
+    lost = 0
+    try:
+        versions.commit(folder, {"orders": month.withColumn("status", F.lower("status")), "members": month.select("member_id")}, 199803, base)
+    except versions.LostRace:
+        lost = 1
+    files = tables.list_files(spark, f"{folder}/data").select(F.regexp_extract("path", "/data/([^/]+/[^/]+)/", 1).alias("path")).distinct()
+    orders = versions.read_version(spark, folder, "orders", 199803)
+    members = versions.read_version(spark, folder, "members").withColumn("is_listed", F.lit(True))
+    return orders.join(members, "member_id", "left").withColumns({"lost": F.lit(lost), "n_tables": F.lit(files.count())})
+
+
 @query
 def snapshot_roundtrip(spark, sf):
     """Snapshots of two months in several parts each: the newest of a month is found by its name and read whole."""
@@ -540,6 +561,23 @@ def history_flags(spark, sf):
     return dates_as_text(flagged.select("order_id", "member_id", "month", "had_urgent", "had_late"))
 
 
+@query
+def history_carried(spark, sf):
+    """The flags of ``history_flags`` with the months fed one batch after the other, the last ones singly, each from the state before it."""
+    months = st.order_month(spark, sf)
+    months = months.withColumn("month", dates.shift_leavers(F.col("month"), F.col("status"), st.LEAVERS))
+    months = months.withColumns({"late": (F.col("status") == "O").cast("int"), "period": dates.period_of(F.col("month"))})
+    months = stage(months.select("order_id", "member_id", "month", "period", "urgent", "late"), "months")
+    folder, lower, parts = scratch_path(spark, "history"), 0, []
+    for upper in (199812, 200012, 200106, 200107, 200107, 200108):  # one month is run again
+        batch = months.where((F.col("period") > (200106 if upper == 200107 else lower)) & (F.col("period") <= upper))
+        carried.advance(spark, folder, batch, "member_id", "period", {"had_urgent": "urgent", "had_late": "late"})
+        lower = upper
+    for period in sorted({v.period for v in versions.versions(spark, folder)}):
+        parts.append(versions.read_version(spark, folder, "flags", period).select("order_id", "member_id", "month", "had_urgent", "had_late"))
+    return dates_as_text(reduce(DataFrame.unionByName, parts))
+
+
 @query
 def history_12(spark, sf):
     """The last 12 periods of the table, so that old months drop out."""
@@ -779,6 +817,52 @@ def score_raw_members(spark, sf):
     return scored.select("id_titular", F.round("renta_imponible_uf", 6).alias("renta_imponible_uf"), F.round("prob_fuga", 4).alias("prob_fuga"))
 
 
+CATEGORIES = ["priority", "status", "segment_name"]
+
+
+def _level_table(spark, sf):
+    """The dictionary of the training months, written and read back."""
+    training = st.contracts(spark, sf).where(F.col("period") < st.TRAINED_TO)
+    path = scratch_path(spark, "levels")
+    levels.level_table(training, CATEGORIES).write.parquet(path)
+    return tables.read_table(spark, path)
+
+
+@query
+def level_table(spark, sf):
+    return _level_table(spark, sf)
+
+
+@query
+def level_report(spark, sf):
+    """Categories of the months after training, against the dictionary of the training months."""
+    later = st.contracts(spark, sf).where(F.col("period") >= st.TRAINED_TO)
+    return levels.level_report(later, _level_table(spark, sf), CATEGORIES)
+
+
+@query
+def with_levels(spark, sf):
+    later = st.contracts(spark, sf).where(F.col("period") >= st.TRAINED_TO)
+    return levels.with_levels(later, _level_table(spark, sf), CATEGORIES).select("order_id", *CATEGORIES)
+
+
+@query
+def score_trees(spark, sf):
+    """Ten ensembles over the same inputs, trained on earlier months, stored, loaded, and applied to later ones in one pass."""
+    contracts = st.contracts(spark, sf)
+    training = contracts.where(F.col("period") < st.TRAINED_TO)
+    targets = {f"{m}_{y}": ensembles.Target(f"{m}_label_{y}", "percentile", trees=1, depth=2, min_gain=1e-4)
+               for m in ("income", "cost") for y in lifetime.YEARS}
+    targets |= {f"churn_{y}": ensembles.Target(f"churn_label_{y}", trees=1, depth=1) for y in lifetime.YEARS}
+    targets["churn_campaign"] = ensembles.Target("campaign_label", trees=1, depth=1)
+    fitted = ensembles.fit_ensembles(training, _level_table(spark, sf), ["season"], ["priority", "status"], targets)
+    folder = scratch_path(spark, "ensembles")
+    fitted.save(folder)
+    later = contracts.where(F.col("period") >= st.TRAINED_TO).select("order_id", "season", "priority", "status")
+    scored = ensembles.score_ensembles(later, ensembles.EnsembleSet.load(spark, folder))
+    return rounded(scored.select("order_id", *targets), 8)
+
+
 @query
 def wasserstein(spark, sf):
     return rounded(quality.wasserstein(st.table(spark, sf, "customer"), st.table(spark, sf, "supplier"), "c_acctbal", "s_acctbal"))

@@ -70,6 +70,37 @@ def order_month(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: First period after the months that models and dictionaries are made of.
+TRAINED_TO = 200001
+
+
+def contracts(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per order with model inputs, some of them missing, and labels for ten models.
+
+    One priority and one segment do not occur before ``TRAINED_TO``. Labels follow season and priority, plus a remainder of the order number.
+    """
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderpriority").alias("priority"))
+    rows = order_month(spark, sf).join(orders, "order_id").join(member(spark, sf).select("member_id", "segment_name"), "member_id")
+    old = F.col("period") < TRAINED_TO
+    rows = rows.where(~old | ((F.col("priority") != "3-MEDIUM") & (F.col("segment_name") != "MACHINERY")))
+    key = F.col("order_id")
+    rows = rows.select(
+        "order_id", "period", "status", "segment_name",
+        F.when(key % 13 != 0, F.month("month")).alias("season"),
+        F.when(key % 17 != 0, F.col("priority")).alias("priority"),
+    )
+    dear, low = F.coalesce(F.col("priority").isin("1-URGENT", "2-HIGH"), F.lit(False)), F.coalesce(F.col("priority") == "5-LOW", F.lit(False))
+    income = F.when(F.col("season") <= 6, 20).when(dear, 50).otherwise(80)
+    cost = F.when(low, 90).when(F.col("season") <= 3, 10).otherwise(40)
+    leaving = F.when(F.col("season") <= 6, 2).otherwise(6)
+    labels = {"campaign_label": (key % 10 < F.when(dear, 7).otherwise(2)).cast("int")}
+    for year in (1, 2, 3):
+        labels[f"income_label_{year}"] = (income + key % 7 + year) / 100.0
+        labels[f"cost_label_{year}"] = (cost + key % 5 + year) / 100.0
+        labels[f"churn_label_{year}"] = (key % 10 < leaving + year).cast("int")
+    return rows.withColumns(labels)
+
+
 def panel(spark: SparkSession, sf: str) -> DataFrame:
     """One row per member and month with exact income, cost and margin.
 
