@@ -162,6 +162,21 @@ def _tree_outputs() -> str:
     return ", ".join(out)
 
 
+def _number_distance(name: str, col: str, table: str, old: str) -> str:
+    return f"""SELECT * FROM (WITH u AS (SELECT {col}::DOUBLE AS v, {old} AS a FROM {table}), c AS (
+  SELECT v, sum(a) OVER (ORDER BY v) / sum(a) OVER () AS fa, sum(b) OVER (ORDER BY v) / sum(b) OVER () AS fb, lead(v) OVER (ORDER BY v) - v AS step
+  FROM (SELECT v, sum(a)::DOUBLE AS a, sum(1 - a)::DOUBLE AS b FROM u WHERE v IS NOT NULL GROUP BY v)), g AS (SELECT *, abs(fa - fb) AS gap FROM c)
+SELECT '{name}' AS "column", 'number' AS kind, (SELECT count(*) FROM u WHERE v IS NULL AND a = 1) AS missing_a, (SELECT count(*) FROM u WHERE v IS NULL AND a = 0) AS missing_b,
+round(sum(gap * step), 6) AS distance, round(max(gap), 6) AS largest_gap, (SELECT v::VARCHAR FROM g ORDER BY round(gap, 12) DESC, v LIMIT 1) AS "at" FROM g)"""
+
+
+def _category_distance(col: str, table: str, old: str) -> str:
+    return f"""SELECT * FROM (WITH u AS (SELECT {col} AS v, {old} AS a FROM {table}), g AS (
+  SELECT v, sum(a) AS a, sum(1 - a) AS b, abs(sum(a) / (SELECT sum(a) FROM u)::DOUBLE - sum(1 - a) / (SELECT sum(1 - a) FROM u)::DOUBLE) AS gap FROM u GROUP BY v)
+SELECT '{col}' AS "column", 'category' AS kind, coalesce(sum(a) FILTER (v IS NULL), 0)::BIGINT AS missing_a, coalesce(sum(b) FILTER (v IS NULL), 0)::BIGINT AS missing_b,
+round(sum(gap) / 2, 6) AS distance, round(max(gap), 6) AS largest_gap, (SELECT v FROM g ORDER BY round(gap, 12) DESC, v NULLS FIRST LIMIT 1) AS "at" FROM g)"""
+
+
 _level_counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS level FROM {{0}}" for c in _categories)
 
 VIEWS: dict[str, str] = {
@@ -318,6 +333,7 @@ VIEWS |= {
               FROM order_month JOIN orders ON o_orderkey = order_id JOIN (SELECT member_id, segment_name FROM member) USING (member_id)
               WHERE period >= {st.TRAINED_TO} OR (o_orderpriority <> '3-MEDIUM' AND segment_name <> 'MACHINERY')))""",
     "trained": f"SELECT * FROM contracts WHERE period < {st.TRAINED_TO}",
+    "compared": f"SELECT *, CASE WHEN order_id % 11 <> 0 THEN cost_label_1 END AS cost_known, (period < {st.TRAINED_TO})::INTEGER AS old FROM contracts",
     "later": f"SELECT * FROM contracts WHERE period >= {st.TRAINED_TO}",
     "trained_levels": f"""
   SELECT column_name, level, (row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, level) - 1)::INTEGER AS position, count(*) AS held
@@ -558,6 +574,46 @@ FROM scored s LEFT JOIN pred_income_1 a USING (member_id) LEFT JOIN pred_income_
 LEFT JOIN pred_income_3 c USING (member_id)""",
     "score_linear": "SELECT member_id, round(churn, 8) AS churn, round(p_income_1, 8) AS p_income FROM scored",
     "score_ml_model": "SELECT member_id, round(churn, 6) AS churn FROM scored",
+    "join_stored": """SELECT p.member_id, p.period, n_orders, urgent, try_cast(s.claims AS DOUBLE) AS claims,
+max(coalesce(urgent, 0)) OVER w AS had_urgent, max(coalesce(try_cast(s.claims AS DOUBLE), 0)) OVER w AS most_claims
+FROM panel p LEFT JOIN side s ON s.member_id::BIGINT = p.member_id AND s.period::INTEGER = p.period
+WINDOW w AS (PARTITION BY p.member_id ORDER BY p.period)""",
+    "distinct_members_sketched": "SELECT period // 100 AS year, count(DISTINCT member_id) AS members, TRUE AS is_within FROM order_month GROUP BY 1",
+    "compare_columns": " UNION ALL ".join(
+        [_number_distance(c, c, "compared", "old") for c in ("season", "cost_known", "income_label_2")]
+        + [_category_distance(c, "compared", "old") for c in _categories]
+    ),
+    "compare_columns_buckets": " UNION ALL ".join(_number_distance(c, c, "lineitem", "(l_returnflag = 'R')::INTEGER") for c in ("l_extendedprice", "l_quantity")),
+    "csv_inferred": """SELECT c.column AS "column", c.type AS "type", (SELECT count(*) FROM orders)::BIGINT AS filled, (c.column = 'o_custkey')::BIGINT AS failed
+FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'), ('o_totalprice', 'double'), ('o_orderdate', 'date'), ('o_orderpriority', 'string')) c("column", "type")""",
+    "csv_inferred_rows": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice::DOUBLE AS o_totalprice, o_orderdate::DATE::VARCHAR AS o_orderdate, o_orderpriority FROM orders",
+    "csv_bad_rows": "SELECT * FROM (VALUES ('-1', 'x12', 'o_custkey'), ('-2', '7', 'fields'), ('-3', '7', 'fields')) b(o_orderkey, o_custkey, reason)",
+    "validate_basic": f"""WITH o AS (SELECT o_custkey, o_orderkey, nullif(o_orderstatus, 'P') AS note, o_orderdate::DATE AS day FROM orders),
+x AS (SELECT count(*) AS n FROM o), d AS (SELECT o_custkey, count(*) OVER (PARTITION BY o_custkey) AS held FROM o),
+r AS (
+SELECT 'range' AS expectation, 'o_custkey' AS "column", 0 AS missing, (SELECT count(*) FROM o WHERE o_custkey < 10) AS bad, 0.5 AS mostly,
+  (SELECT string_agg(v, '|') FROM (SELECT o_custkey::VARCHAR AS v FROM o WHERE o_custkey < 10 ORDER BY o_custkey LIMIT 20)) AS first_ones
+UNION ALL SELECT 'range', 'day', 0, (SELECT count(*) FROM o WHERE day > DATE '2001-07-01'), 1,
+  (SELECT string_agg(v, '|') FROM (SELECT day::VARCHAR AS v FROM o WHERE day > DATE '2001-07-01' ORDER BY day LIMIT 20))
+UNION ALL SELECT 'in_set', 'note', (SELECT count(*) FROM o WHERE note IS NULL), (SELECT count(*) FROM o WHERE note <> 'F'), 0.3,
+  (SELECT string_agg(v, '|') FROM (SELECT note AS v FROM o WHERE note <> 'F' ORDER BY note LIMIT 20))
+UNION ALL SELECT 'not_null', 'note', 0, (SELECT count(*) FROM o WHERE note IS NULL), 1, ''
+UNION ALL SELECT 'unique', 'o_custkey', 0, (SELECT count(*) FROM d WHERE held > 1), 1,
+  (SELECT string_agg(v, '|') FROM (SELECT o_custkey::VARCHAR AS v FROM d WHERE held > 1 ORDER BY o_custkey LIMIT 20))
+UNION ALL SELECT 'unique', 'o_orderkey', 0, 0, 1, ''
+)
+SELECT expectation, "column", n AS element_count, missing AS missing_count, round(100.0::DOUBLE * missing / n, 6) AS missing_percent, bad AS unexpected_count,
+round(100.0::DOUBLE * bad / n, 6) AS unexpected_percent, round(100.0::DOUBLE * bad / (n - missing), 6) AS unexpected_percent_nonmissing,
+coalesce(first_ones, '') AS partial_unexpected_list, bad <= (1 - mostly) * (n - missing) + 1e-9 AS success FROM r, x
+UNION ALL SELECT 'type', 'o_custkey', NULL, NULL, NULL, NULL, NULL, NULL, NULL, (SELECT typeof(any_value(o_custkey)) = 'BIGINT' FROM orders)
+UNION ALL SELECT 'range', 'absent', NULL, NULL, NULL, NULL, NULL, NULL, NULL, FALSE""",
+    "rolling_max_months": """SELECT member_id, period, CASE WHEN count(n_orders) OVER w >= 2 THEN max(n_orders) OVER w END AS n_max
+FROM (SELECT *, period // 100 * 12 + period % 100 AS m FROM panel) WINDOW w AS (PARTITION BY member_id ORDER BY m RANGE BETWEEN 9 PRECEDING AND 1 PRECEDING)""",
+    "rolling_max_dense": """SELECT member_id, month::DATE::VARCHAR AS month, CASE WHEN count(n) OVER w >= 3 THEN max(n) OVER w END AS n_max FROM (
+SELECT g.member_id, g.month, coalesce(p.n_orders, 0) AS n FROM (
+  SELECT member_id, unnest(generate_series(min(month)::TIMESTAMP, (SELECT max(month) FROM panel)::TIMESTAMP, INTERVAL 1 MONTH)) AS month FROM panel WHERE month >= DATE '2000-01-01' GROUP BY member_id) g
+LEFT JOIN panel p ON p.member_id = g.member_id AND p.month = g.month)
+WINDOW w AS (PARTITION BY member_id ORDER BY month ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""",
     "publish_race": "SELECT order_id, member_id, status, period, TRUE AS is_listed, 1 AS lost, 3 AS n_tables FROM order_month WHERE period = 199803",
     "level_table": 'SELECT column_name AS "column", level, position, held AS "rows" FROM trained_levels',
     "level_report": """SELECT coalesce(l.column_name, t.column_name) AS "column", coalesce(sum(l.held), 0)::BIGINT AS "rows",

@@ -18,11 +18,11 @@ from membervane.catalog import standins as st
 from membervane.fixed_values import CHURN_FRACTIONS, NO_END_PERIOD, SEGMENT_LABELS, VALUE_FRACTIONS
 from membervane.functions import dates, flags, numeric, text
 from membervane.functions.text import label
-from membervane.operators import carried, ensembles, history, joins, levels, quality, quantiles, rows, schema, scoring, segments, value
+from membervane.operators import carried, ensembles, history, joins, levels, populations, quality, quantiles, rows, schema, scoring, segments, value
 from membervane.plans import campaign as campaign_plan
 from membervane.plans import lifetime, preparation
 from membervane.session import scratch_path, stage, tune
-from membervane.sources import sinks, tables, versions
+from membervane.sources import delimited, sinks, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -85,6 +85,33 @@ def csv_roundtrip(spark, sf):
     return tables.read_csv(spark, path, customer.schema)
 
 
+def _inferred(spark, sf):
+    """Orders as a file of unknown types, with three rows that are bad in three ways."""
+    orders = st.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
+    path = scratch_path(spark, "unknown")
+    sinks.export_csv(orders, path, compression="gzip")
+    lines = [",".join(orders.columns), "-1,x12,O,1.5,1998-01-01,5-LOW", "-2,7,O", "-3,7,F,2.5,1998-01-01,5-LOW,more"]
+    spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.mode("append").text(path)
+    return delimited.read_inferred(spark, path)
+
+
+@query
+def csv_inferred(spark, sf):
+    """Types, values and bad rows of every column of a file read without a schema."""
+    return _inferred(spark, sf).report()
+
+
+@query
+def csv_inferred_rows(spark, sf):
+    return dates_as_text(_inferred(spark, sf).rows)
+
+
+@query
+def csv_bad_rows(spark, sf):
+    bad = _inferred(spark, sf).bad
+    return bad.select("o_orderkey", "o_custkey", F.col("_reason").alias("reason"))
+
+
 @query
 def table_roundtrip(spark, sf):
     """Replace a table, replace the rows of one of its periods, read it back."""
@@ -197,6 +224,26 @@ def validate_suite(spark, sf):
     return quality.validate(st.table(spark, sf, "customer"), quality.expectations_of(suite))
 
 
+@query
+def validate_basic(spark, sf):
+    """Counts, shares and first offending values of a suite's checks."""
+    orders = st.table(spark, sf, "orders").withColumns({"note": F.nullif("o_orderstatus", F.lit("P")), "day": F.col("o_orderdate").cast("date")})
+    report = quality.validate_basic(
+        orders,
+        [
+            {"expect": "range", "column": "o_custkey", "min": 10, "mostly": 0.5},
+            {"expect": "range", "column": "day", "max": "2001-07-01"},
+            {"expect": "in_set", "column": "note", "values": ["F"], "mostly": 0.3},
+            {"expect": "not_null", "column": "note"},
+            {"expect": "unique", "column": "o_custkey"},
+            {"expect": "unique", "column": "o_orderkey"},
+            {"expect": "type", "column": "o_custkey", "type": "bigint"},
+            {"expect": "range", "column": "absent", "min": 0},
+        ],
+    )
+    return rounded(report.withColumn("partial_unexpected_list", F.array_join("partial_unexpected_list", "|")))
+
+
 @query
 def latest_snapshot(spark, sf):
     found = tables.latest_snapshot(st.listing(spark, sf), "mar24", "ltv", exclude="score")
@@ -394,6 +441,19 @@ def join_two_key(spark, sf):
     return joins.join_side(fact, shifted.select("member_id", "period", "claims", "end_text"), ["period", "member_id"])
 
 
+@query
+def join_stored(spark, sf):
+    """Facts and side table stored in buckets of members: their join and the history of the result need no exchange."""
+    side = schema.try_cast_columns(st.side(spark, sf), {"member_id": "bigint", "period": "int", "claims": "double"})
+    fact = st.panel(spark, sf).select("member_id", "period", "n_orders", "urgent")
+    names = {"fact": f"fact_{uuid.uuid4().hex}", "side": f"side_{uuid.uuid4().hex}"}
+    for df, name in ((fact, names["fact"]), (side.select("member_id", "period", "claims"), names["side"])):
+        sinks.write_bucketed(df, name, "member_id", 8, ["period"], scratch_path(spark, "buckets"))
+    beside = joins.co_located(spark)
+    joined = joins.join_side(beside.table(names["fact"]), beside.table(names["side"]), ["period", "member_id"])
+    return history.running_max(joined, "member_id", "period", {"had_urgent": "urgent", "most_claims": "claims"})
+
+
 @query
 def join_category(spark, sf):
     lines = st.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -432,6 +492,18 @@ def distinct_members(spark, sf):
     return quality.distinct_members(st.order_month(spark, sf), "member_id")
 
 
+@query
+def distinct_members_sketched(spark, sf):
+    """Members a year from sketches that were kept a month: is the merged estimate within the error stated for it?"""
+    months = st.order_month(spark, sf).withColumn("year", F.floor(F.col("period") / 100))
+    path = scratch_path(spark, "sketches")
+    quality.member_sketches(months, "member_id", ["year", "period"]).write.parquet(path)
+    merged = quality.merged_members(tables.read_table(spark, path), ["year"])
+    exact = months.groupBy("year").agg(F.count_distinct("member_id").alias("members"))
+    within = F.abs(F.col("estimate") - F.col("members")) <= F.col("members") * F.col("stated_error")
+    return merged.join(exact, "year").select("year", "members", within.alias("is_within"))
+
+
 @query
 def uniqueness_check(spark, sf):
     months = st.order_month(spark, sf)
@@ -604,6 +676,21 @@ def rolling_max(spark, sf):
     return history.rolling_max(months, "member_id", "period", {"n_max": "n_orders"}, shift=1)
 
 
+@query
+def rolling_max_months(spark, sf):
+    """Windows over calendar months: months without a row do not move them."""
+    months = st.panel(spark, sf).select("member_id", "period", "n_orders")
+    return history.rolling_max_months(months, "member_id", "period", {"n_max": "n_orders"}, shift=1, window=9, min_periods=2)
+
+
+@query
+def rolling_max_dense(spark, sf):
+    """The same over a grid with a row for every month, zero where there was none."""
+    months = st.panel(spark, sf).select("member_id", "month", "n_orders").where(F.col("month") >= "2000-01-01")
+    dense = history.dense_months(months, "member_id", "month", {"n_orders": "n_orders"})
+    return dates_as_text(history.rolling_max(dense, "member_id", "month", {"n_max": "n_orders"}, window=6, min_periods=3))
+
+
 @query
 def window_averages(spark, sf):
     as_of = F.lit(st.AS_OF).cast("date")
@@ -863,6 +950,23 @@ def score_trees(spark, sf):
     return rounded(scored.select("order_id", *targets), 8)
 
 
+@query
+def compare_columns(spark, sf):
+    """Two populations on numbers and categories at once: months before and after a cut."""
+    contracts = st.contracts(spark, sf).withColumn("cost_known", F.when(F.col("order_id") % 11 != 0, F.col("cost_label_1")))
+    old, new = contracts.where(F.col("period") < st.TRAINED_TO), contracts.where(F.col("period") >= st.TRAINED_TO)
+    return rounded(populations.compare_columns(old, new, ["season", "cost_known", "income_label_2"], CATEGORIES))
+
+
+@query
+def compare_columns_buckets(spark, sf):
+    """Numbers of two populations of lines, each column cut into many buckets."""
+    lines = st.table(spark, sf, "lineitem")
+    returned, others = lines.where("l_returnflag = 'R'"), lines.where("l_returnflag <> 'R'")
+    found = populations.compare_numbers(returned, others, ["l_extendedprice", "l_quantity"], bucket_rows=2000)
+    return rounded(found)
+
+
 @query
 def wasserstein(spark, sf):
     return rounded(quality.wasserstein(st.table(spark, sf, "customer"), st.table(spark, sf, "supplier"), "c_acctbal", "s_acctbal"))

@@ -65,6 +65,19 @@ def months_back(day: Column, as_of: Column) -> Column:
     return months.cast("int")
 
 
+def month_number(col: Column, is_date: bool) -> Column:
+    """Months since year zero, of a date or of a ``YYYYMM`` int: neighbouring months differ by one."""
+    if is_date:
+        return (F.year(col) * 12 + F.month(col) - 1).cast("int")
+    return (F.floor(col / 100) * 12 + col % 100 - 1).cast("int")
+
+
+def month_of_number(number: Column, as_date: bool) -> Column:
+    """The first day of a numbered month, or its ``YYYYMM`` int."""
+    year, month = F.floor(number / 12).cast("int"), (number % 12 + 1).cast("int")
+    return F.make_date(year, month, F.lit(1)) if as_date else (year * 100 + month).cast("int")
+
+
 def period_tag(day: Column) -> Column:
     """Short month tag with a two-digit year, such as ``ene24``."""
     names = F.array(*[F.lit(name) for name in MONTH_TAGS])

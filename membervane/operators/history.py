@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from membervane.fixed_values import AVERAGE_SPANS
-from membervane.functions.dates import months_back
+from membervane.functions.dates import month_number, month_of_number, months_back
 
 
 def period_max(df: DataFrame, key: str, period: str, columns: Mapping[str, str]) -> DataFrame:
@@ -54,6 +54,15 @@ def ever_flags(
     return df.join(running, same, "left").drop("_key", "_period")
 
 
+def running_max(df: DataFrame, key: str, period: str, columns: Mapping[str, str]) -> DataFrame:
+    """Like ``ever_flags``, for rows that are one per member and period already: a single window, no join back.
+
+    On stored buckets of the key (``joins.co_located``) it needs no exchange either.
+    """
+    frame = Window.partitionBy(key).orderBy(period).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns({out: F.max(F.coalesce(F.col(src), F.lit(0))).over(frame) for out, src in columns.items()})
+
+
 def rolling_max(
     df: DataFrame,
     key: str,
@@ -82,6 +91,53 @@ def rolling_max(
     )
 
 
+def _is_date(df: DataFrame, period: str) -> bool:
+    return dict(df.dtypes)[period] == "date"
+
+
+def rolling_max_months(
+    df: DataFrame,
+    key: str,
+    period: str,
+    columns: Mapping[str, str],
+    shift: int = 0,
+    window: int = 6,
+    min_periods: int = 3,
+) -> DataFrame:
+    """Like ``rolling_max``, but over calendar months: the ``window`` months that end ``shift`` months before the row's.
+
+    ``period`` is a date or a ``YYYYMM`` int. Months without a row hold no value; they neither stretch the window nor count for ``min_periods``.
+    """
+    monthly = df.groupBy(key, period).agg(*[F.max(src).alias(out) for out, src in columns.items()])
+    number = month_number(F.col(period), _is_date(df, period))
+    frame = Window.partitionBy(key).orderBy("_number").rangeBetween(1 - window - shift, -shift)
+    placed = monthly.withColumn("_number", number)
+    found = {out: F.when(F.count(out).over(frame) >= min_periods, F.max(out).over(frame)) for out in columns}
+    return placed.select(key, period, *[c.alias(out) for out, c in found.items()])
+
+
+def dense_months(
+    df: DataFrame, key: str, period: str, columns: Mapping[str, str], fill: float = 0, last: int | str | None = None
+) -> DataFrame:
+    """One row per member and calendar month from its first to the last of the table, the largest value or ``fill`` in it.
+
+    ``last`` names another last month (of the type of ``period``: a date or a ``YYYYMM`` int). Members have as many rows
+    as months, made by a sequence per member, so that windows over rows are windows over months. Rows without a month take no part.
+    """
+    dated = _is_date(df, period)
+    monthly = df.where(F.col(period).isNotNull()).groupBy(key, F.col(period).alias(period)).agg(*[F.max(src).alias(out) for out, src in columns.items()])
+    monthly = monthly.withColumn("_number", month_number(F.col(period), dated)).drop(period)
+    if last is None:
+        last = df.agg(F.max(period)).first()[0]
+    end = month_number(F.lit(last).cast("date" if dated else "int"), dated)
+    begun = monthly.groupBy(F.col(key).alias("_member")).agg(F.min("_number").alias("_first")).where(F.col("_first") <= end)
+    every = begun.select("_member", F.explode(F.sequence(F.col("_first"), end)).alias("_month"))
+    same = F.col("_member").eqNullSafe(F.col(key)) & (F.col("_month") == F.col("_number"))
+    joined = every.join(monthly, same, "left")
+    filled = [F.coalesce(out, F.lit(fill)).alias(out) for out in columns]
+    return joined.select(F.col("_member").alias(key), month_of_number(F.col("_month"), dated).alias(period), *filled)
+
+
 def window_averages(
     panel: DataFrame,
     key: str,

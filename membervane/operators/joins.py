@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from membervane.functions.text import region_of
 from membervane.operators.schema import require_columns
+from membervane.session import tune
 
 
 def join_side(fact: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -21,6 +22,18 @@ def join_side(fact: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFram
     return fact.join(side, on=list(keys), how="left")
 
 
+def co_located(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark``, on the same tables, for tables stored in the same buckets of one key (``sinks.write_bucketed``).
+
+    There a join on that key and others, and a window per key, read the buckets as they lie. Elsewhere Spark wants rows dealt by all keys
+    of a join, which spreads a hot member; so the setting is kept to a session of its own, and a hot member's bucket is one task here.
+    """
+    beside = tune(spark.newSession())
+    beside.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    beside.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return beside
+
+
 def lookup(
     fact: DataFrame, table: DataFrame, fact_key: str, table_key: str, columns: Sequence[str]
 ) -> DataFrame:

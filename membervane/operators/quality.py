@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +25,27 @@ def distinct_members(df: DataFrame, key: str, approximate: bool = False) -> Data
     return df.agg(count.alias("members"))
 
 
+#: Logarithm of a sketch's registers.
+SKETCH_LOG = 12
+
+
+def member_sketches(df: DataFrame, key: str, groups: Sequence[str]) -> DataFrame:
+    """A sketch of the different members of every group (such as a month), to be kept and merged: groups and ``sketch``.
+
+    Some 2 KB a group, whatever its members; equal members of a task are combined before the exchange.
+    """
+    return df.groupBy(*groups).agg(F.hll_sketch_agg(F.col(key), F.lit(SKETCH_LOG)).alias("sketch"))
+
+
+def merged_members(sketches: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Different members of larger groups (such as years) from kept sketches: ``estimate`` and the ``stated_error``.
+
+    A member of several months counts once. The stated error is three standard errors, 3 * 1.04 / sqrt(registers): 4.9 % of the exact number.
+    """
+    union = F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate")
+    return sketches.groupBy(*groups).agg(union).withColumn("stated_error", F.lit(3 * 1.04 / math.sqrt(2**SKETCH_LOG)))
+
+
 def uniqueness_check(df: DataFrame, key: str) -> DataFrame:
     """Rows, different members, and whether these are equal."""
     counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("members"))
@@ -99,10 +123,11 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
-def _violation(kind: str, column: str, rule: Mapping[str, object], types: Mapping[str, str]) -> Column:
+def _offends(kind: str, column: str, rule: Mapping[str, object]) -> Column:
+    """Whether a row breaks a rule on single values; NULL where its value is missing."""
     col = F.col(column)
     if kind == "not_null":
-        return F.count_if(col.isNull())
+        return col.isNull()
     if kind == "range":
         outside = F.lit(False)
         if rule.get("min") is not None:
@@ -111,12 +136,16 @@ def _violation(kind: str, column: str, rule: Mapping[str, object], types: Mappin
         if rule.get("max") is not None:
             high = F.lit(rule["max"])
             outside = outside | (col >= high if rule.get("strict_max") else col > high)
-        return F.count_if(outside)
+        return outside
     if kind == "in_set":
-        return F.count_if(~col.isin(*rule["values"]))
+        return ~col.isin(*rule["values"])
+    raise ValueError(f"unknown expectation {kind!r}")
+
+
+def _violation(kind: str, column: str, rule: Mapping[str, object], types: Mapping[str, str]) -> Column:
     if kind == "type":
         return F.lit(0 if types[column] == rule["type"] else 1).cast("bigint")
-    raise ValueError(f"unknown expectation {kind!r}")
+    return F.count_if(_offends(kind, column, rule))
 
 
 # Check names of the common JSON suite format, and what they are here.
@@ -210,6 +239,93 @@ def validate(
     return report.filter(~F.col("success")) if failures_only else report
 
 
+BASIC_RESULT = (
+    "expectation string, column string, element_count bigint, missing_count bigint, missing_percent double, "
+    "unexpected_count bigint, unexpected_percent double, unexpected_percent_nonmissing double, "
+    "partial_unexpected_list array<string>, success boolean"
+)
+
+
+def validate_basic(df: DataFrame, expectations: Sequence[Mapping[str, object]], examples: int = 20) -> DataFrame:
+    """Check expectations (see ``validate``) and tell how far they fail: counts, shares in percent, and the first offending values.
+
+    Values of a list are the ``examples`` smallest, with repeats, as text. ``unique`` counts all rows whose value another row has. A check of a type or of an absent column has
+    no counts. Two passes serve all checks: one counts; the other keeps offending values only, of which each task sends on no more than ``examples`` a check.
+    ``unique`` needs one grouping per column.
+    """
+    types = dict(df.dtypes)
+    spark = df.sparkSession
+    rows = [(i, e["expect"], e["column"], float(e["mostly"]) if e.get("mostly") is not None else 1.0) for i, e in enumerate(expectations)]
+    if not rows:
+        return spark.createDataFrame([], BASIC_RESULT)
+    rules = spark.createDataFrame(rows, "rule int, expectation string, column string, mostly double")
+    single = [(i, e) for i, e in enumerate(expectations) if e["column"] in types and e["expect"] not in ("unique", "type")]
+    whole = [(i, e) for i, e in enumerate(expectations) if e["column"] in types and e["expect"] == "type"]
+    unique = [(i, e) for i, e in enumerate(expectations) if e["column"] in types and e["expect"] == "unique"]
+
+    def counted(rule: int, elements: Column, missing: Column, unexpected: Column) -> Column:
+        return F.struct(
+            F.lit(rule).alias("rule"), elements.cast("bigint").alias("element_count"), missing.cast("bigint").alias("missing_count"),
+            unexpected.cast("bigint").alias("unexpected_count"),
+        )
+
+    def example(rule: int, column: str) -> Column:
+        """Numbers and dates in their own order, all else as text."""
+        col = F.col(column)
+        number = F.unix_date(col) if types[column] == "date" else col.try_cast("double")
+        own = number.cast("double") if types[column] == "date" or re.match("(tinyint|smallint|int|bigint|float|double|decimal)", types[column]) else F.lit(None).cast("double")
+        return F.struct(F.lit(rule).alias("rule"), own.alias("number"), col.cast("string").alias("text"))
+
+    counts, samples = [], []
+    if single:
+        # A missing value is what not_null looks for, and no element of the other checks.
+        every = [
+            counted(
+                i, F.count(F.lit(1)), F.count_if(F.lit(False) if e["expect"] == "not_null" else F.col(e["column"]).isNull()),
+                F.count_if(_offends(e["expect"], e["column"], e)),
+            ).alias(f"_{i}")
+            for i, e in single
+        ]
+        counts.append(df.agg(*every).select(F.inline(F.array(*[f"_{i}" for i, _ in single]))))
+        shown = [F.when(_offends(e["expect"], e["column"], e), example(i, e["column"])) for i, e in single if e["expect"] != "not_null"]
+        if shown:
+            samples.append(df.select(F.inline(F.array_compact(F.array(*shown)))))
+    for i, e in unique:
+        held = df.groupBy(e["column"]).agg(F.count(F.lit(1)).alias("_held"))
+        value, missing = F.col(e["column"]).isNotNull(), F.sum(F.when(F.col(e["column"]).isNull(), F.col("_held")))
+        copies = F.sum(F.when(value & (F.col("_held") > 1), F.col("_held")))
+        zero = F.lit(0)
+        counts.append(held.agg(counted(i, F.coalesce(F.sum("_held"), zero), F.coalesce(missing, zero), F.coalesce(copies, zero)).alias("_c")).select("_c.*"))
+        several = held.where(value & (F.col("_held") > 1))
+        copied = F.explode(F.array_repeat(example(i, e["column"]), F.least("_held", F.lit(examples)).cast("int"))).alias("_s")
+        samples.append(several.select(copied).select("_s.*"))
+    found = reduce(DataFrame.unionByName, counts) if counts else spark.createDataFrame([], "rule int, element_count bigint, missing_count bigint, unexpected_count bigint")
+    joined = rules.join(F.broadcast(found), "rule", "left")  # both have a row per check
+    if samples:
+        # The rank filter is applied in each task before the exchange.
+        order = Window.partitionBy("rule").orderBy(F.col("number").asc_nulls_last(), "text")
+        first = reduce(DataFrame.unionByName, samples).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= examples)
+        listed = first.groupBy("rule").agg(F.array_sort(F.collect_list(F.struct("_rank", "text"))).alias("_first"))
+        joined = joined.join(F.broadcast(listed.select("rule", F.col("_first.text").alias("_listed"))), "rule", "left")
+    else:
+        joined = joined.withColumn("_listed", F.lit(None).cast("array<string>"))
+    right = {i: types[e["column"]] == e["type"] for i, e in whole}
+    by_type = F.lit(False)
+    for i, fine in right.items():
+        by_type = F.when(F.col("rule") == i, F.lit(fine)).otherwise(by_type)
+    present = F.col("element_count") - F.col("missing_count")
+    allowed = (1 - F.col("mostly")) * present + F.lit(1e-9)
+    return joined.orderBy("rule").select(
+        "expectation", "column", "element_count", "missing_count",
+        (100 * F.try_divide("missing_count", "element_count")).alias("missing_percent"),
+        "unexpected_count",
+        (100 * F.try_divide("unexpected_count", "element_count")).alias("unexpected_percent"),
+        (100 * F.try_divide("unexpected_count", present)).alias("unexpected_percent_nonmissing"),
+        F.when(F.col("element_count").isNotNull(), F.coalesce("_listed", F.array().cast("array<string>"))).alias("partial_unexpected_list"),
+        F.when(F.col("element_count").isNotNull(), F.col("unexpected_count") <= allowed).otherwise(by_type).alias("success"),
+    )
+
+
 def wasserstein(
     a: DataFrame, b: DataFrame, col_a: str, col_b: str, bucket_rows: int | None = None
 ) -> DataFrame:
