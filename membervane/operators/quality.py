@@ -63,26 +63,23 @@ def score_stats(df: DataFrame, col: str) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles, one row per numeric column."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    """Count, mean, deviation, extremes and quartiles, one row per numeric column.
+
+    One pass gives the moments and the numbers of values that the quartiles are looked up by.
+    """
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     moments = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.avg(c).cast("double").alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).cast("double").alias("min"),
-                *[
-                    F.lit(q).cast("double").alias(name)
-                    for name, q in zip(("p25", "p50", "p75"), quartiles[c], strict=True)
-                ],
-                F.max(c).cast("double").alias("max"),
-            ).alias(f"_{i}")
-            for i, c in enumerate(columns)
-        ]
-    )
-    return moments.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
+        *[f(c).cast("bigint" if m == "count" else "double").alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()],
+        *[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.lit(1))).alias(f"values_{i}") for i, c in enumerate(columns)],
+    ).first()
+    sizes = {c: moments[f"values_{i}"] for i, c in enumerate(columns)}
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], sizes=sizes)
+    rows = [
+        (c, *[moments[f"{m}_{i}"] for m in ("count", "mean", "std", "min")], *quartiles[c], moments[f"max_{i}"])
+        for i, c in enumerate(columns)
+    ]
+    kinds = "column string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    return df.sparkSession.createDataFrame(rows, kinds)
 
 
 def null_report(df: DataFrame) -> DataFrame:
@@ -414,8 +411,9 @@ def compare_numeric(
     col_b: str,
     fractions: Sequence[float] = tuple(i / 10 for i in range(11)),
 ) -> DataFrame:
-    """Exact quantiles of two populations side by side: rows (fraction, value_a, value_b)."""
-    left = exact_quantiles(a, [col_a], fractions)[col_a]
-    right = exact_quantiles(b, [col_b], fractions)[col_b]
-    rows = [(float(q), x, y) for q, x, y in zip(fractions, left, right, strict=True)]
+    """Exact quantiles of two populations side by side: rows (fraction, value_a, value_b). Both are found in one run."""
+    left = a.select(F.col(col_a).cast("double").alias("value_a"), F.lit(None).cast("double").alias("value_b"))
+    right = b.select(F.lit(None).cast("double").alias("value_a"), F.col(col_b).cast("double").alias("value_b"))
+    found = exact_quantiles(left.unionByName(right), ["value_a", "value_b"], fractions)
+    rows = [(float(q), x, y) for q, x, y in zip(fractions, found["value_a"], found["value_b"], strict=True)]
     return a.sparkSession.createDataFrame(rows, "fraction double, value_a double, value_b double")

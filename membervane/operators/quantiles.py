@@ -210,17 +210,18 @@ def exact_quantiles(
     columns: Sequence[str],
     fractions: Sequence[float] | Mapping[str, Sequence[float]],
     bucket_rows: int | None = None,
+    sizes: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, NULL and NaN ignored, as driver values.
 
-    ``fractions`` may differ per column. A column without values gives ``None``.
+    ``fractions`` may differ per column. A column without values gives ``None``. ``sizes`` are the numbers of values, where they are known.
     """
     asked = (
         {c: list(fractions[c]) for c in columns}
         if isinstance(fractions, Mapping)
         else {c: list(fractions) for c in columns}
     )
-    return _quantiles(df, columns, asked, count_values(df, columns), bucket_rows)
+    return _quantiles(df, columns, asked, sizes or count_values(df, columns), bucket_rows)
 
 
 def _quantiles(

@@ -19,7 +19,7 @@ from membervane.fixed_values import (
 )
 from membervane.functions.numeric import haircut
 from membervane.functions.text import count_amount_text, label
-from membervane.operators.quantiles import quantile_cuts
+from membervane.operators.quantiles import exact_quantiles, quantile_cuts
 from membervane.operators.rows import dedup_first
 
 
@@ -39,7 +39,13 @@ def grid_cuts(
     value_fractions: Sequence[float] = VALUE_FRACTIONS,
     churn_fractions: Sequence[float] = CHURN_FRACTIONS,
 ) -> GridCuts:
-    """Value cuts from the given rows, churn cuts from the full population; NULL is ignored."""
+    """Value cuts from the given rows, churn cuts from the full population; NULL is ignored.
+
+    Where both are one frame, one run finds all cuts.
+    """
+    if rows is population and value != churn:
+        found = exact_quantiles(rows, [value, churn], {value: value_fractions, churn: churn_fractions})
+        return GridCuts(tuple(found[value]), tuple(found[churn]))
     return GridCuts(
         tuple(quantile_cuts(rows, value, value_fractions)),
         tuple(quantile_cuts(population, churn, churn_fractions)),
