@@ -19,9 +19,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.2
 #: Any character but the white space that lines are stripped of.
 NOT_BLANK = r"(?U)[^\s\x1C-\x1F]"
-#: Near duplicates: shingles of five words, fingerprints of 256 bits. Texts that share 0.8 of their shingles differ in 39 bits
-#: on average (deviation 5.7), unrelated ones in 128 (deviation 8).
-SHINGLE, FINGERPRINT_WORDS, RADIUS = 5, 4, 48
+#: Near duplicates are those of the operator: shingles of three words, 64 bits, at most three of them different.
+SHINGLE, RADIUS = 3, 3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +37,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates. Rows without an id stay."""
+    """The document with the smallest id of each group of near duplicates.
+
+    Rows without an id stay. Rows that share an id stay together, each different text of theirs once.
+    """
     docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs, SHINGLE, RADIUS, FINGERPRINT_WORDS)
+    found = simhash.near_duplicates(docs, SHINGLE, RADIUS)
     first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(staged(first, "first-documents"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(staged(first, "first-documents"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.select(*COLUMNS).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
