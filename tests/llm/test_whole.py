@@ -85,3 +85,22 @@ def test_documents_without_a_word_go(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     found = corpus_pipeline.dedup_lines(spark, docs, "").collect()
     assert {r.doc_id: r.text for r in found} == {0: text, 7: " \n "}
+
+
+def test_near_dedup_takes_the_radius_of_the_operator(spark):
+    """Copies that differ in at most three bits go, all others stay, and so do different texts of one id."""
+    import corpus_pipeline
+    from membervane.llm import simhash
+
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(400)]
+    texts = {k: " ".join(rng.choice(words) for _ in range(400)) for k in range(40)}
+    for k in range(40, 80):  # copies with one word, or the last tenth, replaced
+        kept = texts[k - 40].split()
+        texts[k] = " ".join(["new", *kept[1:]] if k % 2 else kept[:360] + [rng.choice(words) for _ in range(40)])
+    rows = [(k, t, "en", "a", len(t)) for k, t in texts.items()] + [(3, "another text of the same id", "en", "a", 27), (3, texts[3], "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    found = sorted((r.doc_id, r.text) for r in corpus_pipeline.dedup_near(spark, docs, "").collect())
+    prints = {r.doc_id: r.fingerprint for r in simhash.fingerprints(docs.where("n_chars > 30"), 3, 1).collect()}
+    far = [k for k in range(80) if not any((prints[k] ^ prints[j]).bit_count() <= 3 for j in range(k))]
+    assert found == sorted([*((k, texts[k]) for k in far), (3, "another text of the same id")]) and 40 < len(far) < 80
