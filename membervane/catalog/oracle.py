@@ -524,6 +524,7 @@ unnest(quantile_cont(l_extendedprice, [0.0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.3
     ),
     "segment_kmeans": f"""SELECT member_id, cluster, {_label('cluster')} AS category
 FROM (SELECT member_id, {_segment(_segment_features)} AS cluster FROM scored)""",
+    "segment_fitted": "SELECT member_id, TRUE AS is_nearest, 5 AS n_centres FROM scored",
     "period_max": "SELECT member_id, period, max(urgent) AS urgent FROM order_month GROUP BY 1, 2",
     "rolling_max": """SELECT member_id, period, CASE WHEN count(x) OVER w >= 3 THEN max(x) OVER w END AS n_max FROM (
 SELECT member_id, period, lag(n_orders) OVER (PARTITION BY member_id ORDER BY period) AS x FROM panel)

@@ -1057,6 +1057,19 @@ def segment_kmeans(spark, sf):
     return found.withColumn("cluster", cluster).select("member_id", "cluster", label(F.col("cluster"), SEGMENT_LABELS).alias("category"))
 
 
+@query
+def segment_fitted(spark, sf):
+    """Clusters fitted on the members themselves, stored and loaded: is every member's the nearest of the model's centres?"""
+    inputs = stage(_segment_inputs(spark, sf), "segment-members")
+    features, path = list(lifetime.SEGMENT_FEATURES), scratch_path(spark, "model")
+    segments.fit_segments(inputs, features, seed=3).save(path)
+    model = PipelineModel.load(path)
+    found = segments.assign_segment_model(inputs, features, model)
+    centres, scale = segments.segment_centres(model, features)
+    both = segments.assign_segment(found, features, centres, scale, out="nearest", out_label="nearest_category")
+    return both.select("member_id", (F.col("cluster") == F.col("nearest")).alias("is_nearest"), F.lit(len(centres)).alias("n_centres"))
+
+
 @query
 def deliverable(spark, sf):
     """Orders of a member, the first one delivered with a reduced amount."""

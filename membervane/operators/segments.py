@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ from membervane.functions.numeric import haircut
 from membervane.functions.text import count_amount_text, label
 from membervane.operators.quantiles import exact_quantiles, quantile_cuts
 from membervane.operators.rows import dedup_first
+from membervane.session import stage
+
+#: Scaled features inside a fitted model.
+SCALED = "_scaled_features"
 
 
 @dataclass(frozen=True)
@@ -175,6 +181,26 @@ def assign_segment(
     return numbered.withColumn(out_label, label(F.col(out), labels))
 
 
+def fit_segments(df: DataFrame, features: Sequence[str], k: int = 5, seed: int = 0) -> PipelineModel:
+    """Cluster members on scaled features; the result is stored and applied by ``assign_segment_model``.
+
+    Rows with a missing feature take no part.
+    """
+    names = [f"_feature_{i}" for i in range(len(features))]
+    complete = df.select(*[F.col(f).cast("double").alias(n) for f, n in zip(features, names, strict=True)]).dropna()
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(complete)
+    scaler = StandardScaler(inputCol="features", outputCol=SCALED, withMean=True, withStd=True)
+    return Pipeline(stages=[scaler, KMeans(k=k, seed=seed, featuresCol=SCALED)]).fit(stage(vectors, "segment-inputs"))
+
+
+def segment_centres(model: PipelineModel, features: Sequence[str]) -> tuple[list[list[float]], dict[str, tuple[float, float]]]:
+    """Centres of a fitted model in scaled features, and mean and deviation of each feature: what ``assign_segment`` takes."""
+    scaler, clusters = model.stages
+    # A feature that does not vary is scaled to zero.
+    scale = {f: (float(m), float(d) if d else math.inf) for f, m, d in zip(features, scaler.mean, scaler.std, strict=True)}
+    return [[float(x) for x in c] for c in clusters.clusterCenters()], scale
+
+
 def assign_segment_model(
     df: DataFrame,
     features: Sequence[str],
@@ -196,7 +222,7 @@ def assign_segment_model(
         {g: F.when(F.col("_present"), F.col(f).cast("double")).otherwise(0.0) for f, g in filled.items()}
     )
     vectors = VectorAssembler(inputCols=list(filled.values()), outputCol="features", handleInvalid="keep")
-    scored = model.transform(vectors.transform(complete)).drop("features", *filled.values())
+    scored = model.transform(vectors.transform(complete)).drop("features", SCALED, *filled.values())
     numbered = scored.withColumn(out, F.when(F.col("_present"), F.col("prediction") + 1)).drop("prediction", "_present")
     return numbered.withColumn(out_label, label(F.col(out), labels))
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -78,7 +78,8 @@ def test_pipeline_model_keeps_the_key(spark, tmp_path):
     df = spark.createDataFrame([(i, float(i % 7), float(i % 3), float(i % 7 > 3)) for i in range(60)],
                                "m int, a double, b double, label double")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"), LogisticRegression()])
-    model = pipe.fit(df)
+    pipe.fit(df).save(f"{tmp_path}/model")
+    model = PipelineModel.load(f"{tmp_path}/model")  # jobs score with stored models
     got = scoring.score_model(df.select("m", "a", "b"), model, "churn")
     assert got.columns == ["m", "a", "b", "churn"]
     fitted = model.stages[1]
@@ -180,3 +181,20 @@ def test_wasserstein(spark, bucket_rows):
     fb = np.searchsorted(np.sort(a[::3]), grid[:-1], "right") / len(a[::3])
     want = (abs(fa - fb) * np.diff(grid)).sum()
     assert quality.wasserstein(df, half, "x", "x", bucket_rows).first()[0] == pytest.approx(want)
+
+
+def test_fitted_segments(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    middles = np.array([(0, 0), (50, 1), (0, 2), (50, 3), (25, 9)])
+    points = middles[rng.integers(0, 5, 400)] + rng.normal(0, (2, 0.1), (400, 2))
+    rows = [(i, float(a), float(b), 1.0) for i, (a, b) in enumerate(points)] + [(900, None, 1.0, 1.0), (901, 1.0, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "m int, a double, b double, same double")
+    segments.fit_segments(df, ["a", "b", "same"], seed=2).save(f"{tmp_path}/segments")
+    model = PipelineModel.load(f"{tmp_path}/segments")
+    got = segments.assign_segment_model(df, ["a", "b", "same"], model)
+    assert got.columns == ["m", "a", "b", "same", "cluster", "category"]
+    centres, scale = segments.segment_centres(model, ["a", "b", "same"])
+    twin = segments.assign_segment(got, ["a", "b", "same"], centres, scale, out="twin", out_label="t").toPandas().set_index("m")
+    assert (twin.loc[range(400), "cluster"] == twin.loc[range(400), "twin"]).all() and twin.loc[[900, 901], "cluster"].isna().all()
+    cost = ((twin.loc[range(400), ["a", "b"]] - twin.loc[range(400)].groupby("cluster")[["a", "b"]].transform("mean")) ** 2).sum().sum()
+    assert twin.loc[range(400), "cluster"].nunique() == 5 and cost < 0.3 * ((points - points.mean(axis=0)) ** 2).sum()
