@@ -640,11 +640,12 @@ def history_carried(spark, sf):
     months = months.withColumn("month", dates.shift_leavers(F.col("month"), F.col("status"), st.LEAVERS))
     months = months.withColumns({"late": (F.col("status") == "O").cast("int"), "period": dates.period_of(F.col("month"))})
     months = stage(months.select("order_id", "member_id", "month", "period", "urgent", "late"), "months")
-    folder, lower, parts = scratch_path(spark, "history"), 0, []
-    for upper in (199812, 200012, 200106, 200107, 200107, 200108):  # one month is run again
-        batch = months.where((F.col("period") > (200106 if upper == 200107 else lower)) & (F.col("period") <= upper))
+    folder, parts = scratch_path(spark, "history"), []
+    periods = sorted(r["period"] for r in months.select("period").distinct().collect())
+    steps = [periods[: len(periods) // 2], periods[len(periods) // 2 : -2], periods[-2:-1], periods[-2:-1], periods[-1:]]
+    for step in steps:  # one month is run again
+        batch = months.where(F.col("period").between(step[0], step[-1]))
         carried.advance(spark, folder, batch, "member_id", "period", {"had_urgent": "urgent", "had_late": "late"})
-        lower = upper
     for period in sorted({v.period for v in versions.versions(spark, folder)}):
         parts.append(versions.read_version(spark, folder, "flags", period).select("order_id", "member_id", "month", "had_urgent", "had_late"))
     return dates_as_text(reduce(DataFrame.unionByName, parts))

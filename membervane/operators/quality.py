@@ -70,7 +70,7 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     moments = df.agg(
         *[f(c).cast("bigint" if m == "count" else "double").alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()],
-        *[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.lit(1))).alias(f"values_{i}") for i, c in enumerate(columns)],
+        *[F.count_if(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))).alias(f"values_{i}") for i, c in enumerate(columns)],
     ).first()
     sizes = {c: moments[f"values_{i}"] for i, c in enumerate(columns)}
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], sizes=sizes)
