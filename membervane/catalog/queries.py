@@ -495,7 +495,7 @@ def distinct_members(spark, sf):
 @query
 def distinct_members_sketched(spark, sf):
     """Members a year from sketches that were kept a month: is the merged estimate within the error stated for it?"""
-    months = st.order_month(spark, sf).withColumn("year", F.floor(F.col("period") / 100))
+    months = st.order_month(spark, sf).withColumn("year", F.floor(F.col("period") / 100).cast("int"))
     path = scratch_path(spark, "sketches")
     quality.member_sketches(months, "member_id", ["year", "period"]).write.parquet(path)
     merged = quality.merged_members(tables.read_table(spark, path), ["year"])
@@ -1177,7 +1177,7 @@ def campaign_publish(spark, sf):
     scores = flagged.select("member_id", "churn", "ltv_predicted", "ltv_no_churn_predicted")
     campaign_plan.publish_campaign(_campaign(spark, sf, flagged), values.select("member_id", "ltv_predicted"), scores, folder, period)
     people, clusters, worth, scored = (
-        sinks.read_published(spark, folder, name, period) for name in ("predictions", "clusters", "values", "scores")
+        versions.read_version(spark, folder, name, period) for name in ("predictions", "clusters", "values", "scores")
     )
     worth = worth.withColumnRenamed("LTV_PREDICTED", "LTV")
     joined = people.join(clusters.select("MEMBER_ID", "SEGMENT"), "MEMBER_ID", "left").join(worth, "MEMBER_ID", "left")

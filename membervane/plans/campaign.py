@@ -18,7 +18,7 @@ from membervane.operators.quantiles import exact_quantiles, quantile_cuts
 from membervane.operators.rows import dedup_first
 from membervane.operators.schema import coerce_inputs, drop_existing, lower_columns, presence_report, upper_columns
 from membervane.operators.segments import GridCuts, deliverable, grid_segments
-from membervane.sources.sinks import publish
+from membervane.sources.versions import Version, commit
 
 
 @dataclass(frozen=True)
@@ -99,9 +99,11 @@ def campaign(
 
 def publish_campaign(
     results: Mapping[str, DataFrame], values: DataFrame, scores: DataFrame, folder: str, period: int
-) -> DataFrame:
+) -> Version:
     """Publish everyone's deliverable, the clustered members, the value table and the scores with the value
-    columns, with upper-case names; returns the manifest.
+    columns, with upper-case names, as the next version of the folder.
+
+    Readers see all four of one version. Of two runs at once one wins, the other raises ``LostRace``.
     """
     tables = {
         "predictions": results["everyone"],
@@ -109,7 +111,7 @@ def publish_campaign(
         "values": values,
         "scores": scores,
     }
-    return publish({name: upper_columns(drop_existing(df, ["index"])) for name, df in tables.items()}, folder, period)
+    return commit(folder, {name: upper_columns(drop_existing(df, ["index"])) for name, df in tables.items()}, period)
 
 
 def score_drift(new: DataFrame, training: DataFrame, col: str, alarm: float = DRIFT_ALARM) -> DataFrame:

@@ -101,23 +101,38 @@ def read_version(
     return spark.read.parquet(found.paths[name])
 
 
+def _abandoned(spark: SparkSession, folder: str, before: float) -> list:
+    """Commit files whose writer was lost before it came to their end: they hold a number, and no version."""
+    files, listed = _files(spark, f"{folder}/commits")
+    known = {v.number for v in versions(spark, folder)}
+    found = list(files.listStatus(listed)) if files.exists(listed) else []
+    return [
+        s.getPath() for s in found
+        if s.getPath().getName()[:-5].isdigit() and int(s.getPath().getName()[:-5]) not in known and s.getModificationTime() < before
+    ]
+
+
 def vacuum(spark: SparkSession, folder: str, oldest: int = 0, idle_seconds: float = 86_400) -> list[str]:
     """Remove table paths that no version from ``oldest`` on names, and the commits before it; returns the removed paths.
 
-    A path that was touched within ``idle_seconds`` stays: its writer may be about to commit it.
+    A path that was touched within ``idle_seconds`` stays: its writer may be about to commit it. So does an unfinished
+    commit file; an older one goes, which frees its number.
     """
     folder = folder.rstrip("/")
+    before = (time.time() - idle_seconds) * 1000
     known = versions(spark, folder)
     kept = {path.rsplit("/", 1)[1] for v in known if v.number >= oldest for path in v.paths.values()}
     files, data = _files(spark, f"{folder}/data")
     removed = []
+    for path in _abandoned(spark, folder, before):
+        files.delete(path, False)
     for v in known:
         if v.number < oldest:
             files.delete(_files(spark, f"{folder}/commits/{v.number:010d}.json")[1], False)
     for name in files.listStatus(data) if files.exists(data) else []:
         for status in files.listStatus(name.getPath()):
             path = status.getPath()
-            if path.getName() not in kept and status.getModificationTime() < (time.time() - idle_seconds) * 1000:
+            if path.getName() not in kept and status.getModificationTime() < before:
                 files.delete(path, True)
                 removed.append(path.toString())
     return removed

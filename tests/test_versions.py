@@ -73,6 +73,12 @@ def test_a_commit_without_its_end_is_not_there(spark, df):
     assert versions.version_of(spark, folder).number == 1
     with pytest.raises(versions.LostRace):  # the number is taken all the same
         versions.commit(folder, {"x": df}, 202002)
+    versions.vacuum(spark, folder)  # it may still be at work
+    with pytest.raises(versions.LostRace):
+        versions.commit(folder, {"x": df}, 202002)
+    time.sleep(1.1)
+    assert versions.vacuum(spark, folder, idle_seconds=0) == []
+    assert versions.commit(folder, {"x": df}, 202002).number == 2 and len(versions.versions(spark, folder)) == 2
 
 
 def month_rows(n, seed):
