@@ -2,8 +2,8 @@
 
 A text is cut where the gear hash of the bytes just before has its marked bits at zero, so cuts
 move with the text around them and an insertion changes the chunks next to it only. Chunks are
-looked up by digest; every chunk belongs to the first place that holds it, and runs of neighbouring chunks that
-were first seen elsewhere are the repeated spans.
+looked up by digest, as many neighbours together as a span must have bytes at least: such a run belongs to the first
+place that holds it, and runs that go on in both places are one repeated span, which stands there as a whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from membervane.llm.common import slices, staged, with_column
+from membervane.llm.common import slices, staged, unused, with_column
 
 #: Bits of the gear hash; as each byte shifts it by one, it depends on so many last bytes.
 GEAR_BITS = 16
@@ -28,7 +28,7 @@ STRETCH, ROWS = 1 << 20, 200_000
 #: One number per byte value.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 1) & 0xFFFF for b in range(256)], np.uint16)
 MASK = np.uint16(((1 << CUT_BITS) - 1) << (GEAR_BITS - CUT_BITS))
-CHUNK = "doc_id long, start int, size int, h1 long, h2 int"
+RUN = "doc_id long, start int, size int, h1 long, h2 int"
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -59,8 +59,25 @@ def cuts(data: np.ndarray) -> list[int]:
     return ends
 
 
-def chunks_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, start, size, h1, h2`` of every chunk: place and length in bytes, and 96 bits of a digest."""
+def runs_of(ends: list[int], least: int) -> list[tuple[int, int]]:
+    """First and last byte (exclusive) of the shortest run of ``least`` bytes or more that begins with each chunk.
+
+    The last run goes on to the end of the text as well, so that no chunk is left out.
+    """
+    runs, last = [], 0
+    for begin in [0, *ends[:-1]] if ends else []:
+        while last < len(ends) and ends[last] - begin < least:
+            last += 1
+        if last == len(ends):
+            break
+        runs.append((begin, ends[last]))
+    if runs and runs[-1][1] < ends[-1]:
+        runs.append((runs[-1][0], ends[-1]))
+    return runs
+
+
+def chunk_runs(docs: DataFrame, min_bytes: int) -> DataFrame:
+    """``doc_id, start, size, h1, h2`` of every run of chunks: place and length in bytes, and 96 bits of a digest."""
 
     def emit(ids, starts, sizes, digests):
         halves = np.frombuffer(b"".join(digests), np.dtype([("h1", "<i8"), ("h2", "<i4"), ("rest", "<i4")]))
@@ -73,12 +90,11 @@ def chunks_of(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 raw = text.encode("utf-8", "surrogatepass")
-                ends = cuts(np.frombuffer(raw, np.uint8))
-                begins = [0, *ends[:-1]] if ends else []
-                ids += [doc_id] * len(ends)
-                starts += begins
-                sizes += [b - a for a, b in zip(begins, ends)]
-                digests += [digest(raw[a:b]) for a, b in zip(begins, ends)]
+                runs = runs_of(cuts(np.frombuffer(raw, np.uint8)), min_bytes)
+                ids += [doc_id] * len(runs)
+                starts += [a for a, _ in runs]
+                sizes += [b - a for a, b in runs]
+                digests += [digest(raw[a:b]) for a, b in runs]
                 if len(ids) >= ROWS:
                     yield emit(ids, starts, sizes, digests)
                     ids, starts, sizes, digests = [], [], [], []
@@ -87,58 +103,63 @@ def chunks_of(docs: DataFrame) -> DataFrame:
                 ids, starts, sizes, digests = [], [], [], []
 
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return usable.select("doc_id", "text").mapInPandas(run, CHUNK)
+    return usable.select("doc_id", "text").mapInPandas(run, RUN)
 
 
 def repeated_spans(docs: DataFrame, min_bytes: int = 120) -> DataFrame:
-    """``doc_id, start, size, first_doc_id, n_chunks``: spans (in bytes of UTF-8) seen before.
-
-    Seen before means: in a document with a smaller ``doc_id``, or further to the front of the same one. A span is a run
-    of neighbouring repeated chunks of at least ``min_bytes``; ``first_doc_id`` is the smallest document in which a
-    chunk of it was first seen. Null texts and rows without ``doc_id`` take no part, empty texts have no chunk.
-    Rows that share a ``doc_id`` are one document: a chunk at the same place of each is one chunk. An empty table
+    """``doc_id, start, size, first_doc_id, first_start, n_runs``: spans (in bytes of UTF-8) seen before.
+
+    Seen before means: in a document with a smaller ``doc_id``, or further to the front of the same one. The bytes of a span stand as a
+    whole at ``first_start`` of ``first_doc_id``, and have at least ``min_bytes``. A span is made of ``n_runs`` runs of chunks that go on,
+    overlapping or end to end, in both places. Spans of one document with different first places may overlap.
+    In periodic text each run is a span of its own, as all have one first place. At each end of a copy less than ``min_bytes`` may be left, as far as no shortest run lies in it.
+    Null texts and rows without ``doc_id`` take no part; texts of less than ``min_bytes`` (empty ones too) have no run. Very long texts
+    are cut a stretch at a time; their runs are rows like all others.
+    Rows that share a ``doc_id`` are one document: a run at the same place of each is one run. An empty table
     gives an empty result; other columns are not read.
     """
-    chunks = staged(chunks_of(docs), "chunks")
+    runs = staged(chunk_runs(docs, min_bytes), "chunk-runs")
     place = F.struct("doc_id", "start")
-    firsts = chunks.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("held"))
-    firsts = staged(firsts.where("held > 1").select("h1", "h2", "first"), "first-chunks")
-    repeated = chunks.join(firsts, ["h1", "h2"]).where(F.col("first") < place)
-    repeated = repeated.select("doc_id", "start", "size", F.col("first.doc_id").alias("first_doc_id"))
-    in_order = Window.partitionBy("doc_id").orderBy("start", "size")
-    begins = F.coalesce(F.col("start") > F.lag(F.col("start") + F.col("size")).over(in_order), F.lit(True))
-    runs = repeated.withColumn("_begins", begins.cast("int")).withColumn("_run", F.sum("_begins").over(in_order))
-    spans = runs.groupBy("doc_id", "_run").agg(
-        F.min("start").alias("start"),
-        (F.max(F.col("start") + F.col("size")) - F.min("start")).alias("size"),
-        F.min("first_doc_id").alias("first_doc_id"),
-        F.count(F.lit(1)).alias("n_chunks"),
+    firsts = runs.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("held"))
+    firsts = staged(firsts.where("held > 1").select("h1", "h2", "first"), "first-runs")
+    repeated = runs.join(firsts, ["h1", "h2"]).where(F.col("first") < place)
+    # Runs at one distance from their first places form a span as long as each begins within or next to those before.
+    shift = (F.col("start") - F.col("first.start")).alias("shift")
+    repeated = repeated.select("doc_id", "start", (F.col("start") + F.col("size")).alias("stop"), F.col("first.doc_id").alias("first_doc_id"), shift)
+    copies = Window.partitionBy("doc_id", "first_doc_id", "shift").orderBy("start", "stop")
+    begins = F.coalesce(F.col("start") > F.max("stop").over(copies.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    spans = repeated.withColumn("begins", begins.cast("int")).withColumn("span", F.sum("begins").over(copies.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = spans.groupBy("doc_id", "first_doc_id", "shift", "span").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.count(F.lit(1)).alias("n_runs")
+    )
+    return spans.select(
+        "doc_id", "start", (F.col("stop") - F.col("start")).alias("size"), "first_doc_id", (F.col("start") - F.col("shift")).alias("first_start"), "n_runs"
     )
-    return spans.where(F.col("size") >= min_bytes).drop("_run")
 
 
 def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the spans cut out of ``text``, and the number of bytes removed as ``bytes_removed``.
 
-    A code point that a span cuts through is removed with it. Documents without spans, null texts and rows without ``doc_id``
+    Spans may overlap. A code point that a span cuts through is removed with it. Documents without spans, null texts and rows without ``doc_id``
     stay as they are.
     """
-    listed = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("_spans"))
     names = [c for c in docs.columns if c != "bytes_removed"]
-    joined = docs.select(*names).join(listed, "doc_id", "left").select(*names, "_spans")
+    own = unused("spans", names)
+    listed = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias(own))
+    joined = docs.select(*names).join(listed, "doc_id", "left").select(*names, own)
     schema = with_column(docs.select(*names), "bytes_removed", T.IntegerType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches):
             texts, removed = batch["text"].tolist(), np.zeros(len(batch), np.int32)
-            for k, rows in enumerate(batch.pop("_spans")):
+            for k, rows in enumerate(batch.pop(own)):
                 if rows is None or texts[k] is None:
                     continue
                 raw, at, kept = texts[k].encode("utf-8", "surrogatepass"), 0, []
                 for r in rows:
                     start, size = r.values() if isinstance(r, dict) else r
                     kept.append(raw[at:start])
-                    at = start + size
+                    at = max(at, start + size)
                 left = b"".join([*kept, raw[at:]])
                 texts[k], removed[k] = left.decode("utf-8", "ignore"), len(raw) - len(left)
             batch["text"], batch["bytes_removed"] = texts, removed

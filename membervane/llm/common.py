@@ -46,3 +46,11 @@ def nullable(df: DataFrame) -> T.StructType:
 def with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     """That schema with one more column."""
     return nullable(df).add(name, kind)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """A column name made of ``name`` that none of ``columns`` has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 
 from check import TABLES, difference
 from membervane.llm import chunks, components, digests, language, linealign, mixing, mtree, pieces, simhash, templates, tokencount
@@ -250,28 +251,50 @@ def test_cuts_survive_an_insertion(texts):
 
 
 def test_repeated_spans(documents, texts):
-    seen, repeated = {}, {}
-    for i in sorted(texts):
-        raw = texts[i].encode()
-        ends = chunks.cuts(np.frombuffer(raw, np.uint8))
-        for a, b in zip([0, *ends], ends):
-            if raw[a:b] in seen:
-                repeated.setdefault(i, []).append((a, b, seen[raw[a:b]]))
-            else:
-                seen[raw[a:b]] = i
-    want = set()
-    for i, found in repeated.items():
-        runs = []
-        for a, b, j in found:
-            if runs and runs[-1][1] == a:
-                runs[-1] = (runs[-1][0], b, min(runs[-1][2], j))
-            else:
-                runs.append((a, b, j))
-        want |= {(i, a, b - a, j) for a, b, j in runs if b - a >= 120}
+    """Every span stands earlier, byte for byte; together they cover the shortest runs of chunks that stand earlier, and no more."""
+    raws = {i: t.encode() for i, t in texts.items()}
     found = chunks.repeated_spans(documents)
-    assert {(r.doc_id, r.start, r["size"], r.first_doc_id) for r in found.collect()} == want and want
+    rows = [(r.doc_id, r.start, r["size"], r.first_doc_id, r.first_start) for r in found.collect()]
+    assert rows and len(rows) == len(set(rows))
+    covered = {i: np.zeros(len(raw), bool) for i, raw in raws.items()}
+    for i, start, size, first, at in rows:
+        assert size >= 120 and (first, at) < (i, start)
+        assert raws[first][at : at + size] == raws[i][start : start + size]
+        covered[i][start : start + size] = True
+    seen, want = set(), {i: np.zeros(len(raw), bool) for i, raw in raws.items()}
+    for i in sorted(raws):
+        ends = [0, *chunks.cuts(np.frombuffer(raws[i], np.uint8))]
+        shortest = [(a, min(b for b in ends if b - a >= 120)) for a in ends if ends[-1] - a >= 120]
+        for a, b in sorted({*shortest, *((a, ends[-1]) for a, _ in shortest[-1:])}):
+            if raws[i][a:b] in seen:
+                want[i][a:b] = True
+            seen.add(raws[i][a:b])
+    for i in raws:
+        assert (covered[i] == want[i]).all()
     cut = {r.doc_id: r.bytes_removed for r in chunks.without_spans(documents, found).collect()}
-    assert sum(cut.values()) == sum(n for _, _, n, _ in want)
+    assert {i: int(c.sum()) for i, c in covered.items()} == cut
+
+
+def test_spans_have_one_first_place(spark):
+    """Two passages of different first documents that follow one another are two spans; a shared chunk inside a copy does not part it."""
+    rng = np.random.default_rng(5)
+    a, b, c = ("".join(rng.choice(list("abcdefghij klmnop"), 600)) for _ in range(3))
+    rows = [(1, f"{a} first"), (2, f"{b} second"), (3, f"third {a}{b}"), (4, c[200:300]), (5, c), (6, f"before {c} after"), (7, "zz" + "x" * 4000)]
+    found = {}
+    for r in chunks.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert dict(rows)[r.first_doc_id].encode()[r.first_start :][: r["size"]] == dict(rows)[r.doc_id].encode()[r.start :][: r["size"]]
+        found.setdefault(r.doc_id, []).append((r.first_doc_id, r["size"]))
+    assert sorted(i for i, _ in found[3]) == [1, 2] and all(500 < size <= 601 for _, size in found[3])
+    assert [i for i, _ in found[6]] == [5] and found[6][0][1] > 500
+    assert {i for i, _ in found[7]} == {7} and sum(size for _, size in found[7]) > 3500 and set(found) == {3, 6, 7}
+
+
+def test_spans_beside_clashing_columns(spark):
+    text = "".join(np.random.default_rng(6).choice(list("abcdefghij klmnop"), 500))
+    docs = spark.createDataFrame([(1, text, "own"), (2, text, "own")], "doc_id long, text string, spans string")
+    docs = docs.withColumns({c: F.lit("own") for c in ("_spans", "start", "stop", "shift", "begins", "h1", "first", "bytes_removed")})
+    left = {r.doc_id: r for r in chunks.dedup_chunks(docs).collect()}
+    assert (left[1].text, left[1].bytes_removed, left[2].text, left[2].bytes_removed) == (text, 0, "", 500) and left[2].spans == left[2]["_spans"] == "own"
 
 
 # 6
