@@ -1,7 +1,8 @@
 """Improbable-feature digests: rare byte windows of a text in chained Bloom filters.
 
 Every window of bytes gets a rarity from its entropy; the rarest of each run of neighbouring windows
-wins, and windows that win often enough become features. Short texts have shorter windows. A feature sets five bits of a
+wins, and windows that win often enough become features. The window is the same for texts of every length, so an excerpt has
+the features of its part of the text. A feature sets five bits of a
 2048-bit filter; a filter that holds its number of features is followed by the next one. Two
 digests are compared filter by filter on the bits they share beyond what chance gives.
 """
@@ -18,21 +19,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of a window, which is also the number of neighbours that compete, for texts of so many code points at least.
-WINDOWS = ((1024, 64), (256, 32), (64, 16), (0, 8))
+#: Bytes of a window, which is also the number of neighbours that compete.
+WINDOW = 16
 #: Share of the neighbours' contests that a window must win.
 WINS = 0.25
-#: Windows of 32 bytes or more with less or more of the highest possible entropy (in thousandths) tell nothing.
-PLAIN, RANDOM, USELESS = 100, 990, 2000
+#: Windows with less of the highest possible entropy (in thousandths) tell nothing.
+PLAIN, USELESS = 100, 2000
 #: Bits of a filter, bits of a feature in it, features of a filter.
 FILTER_BITS, FEATURE_BITS, FILTER_FEATURES = 2048, 5, 160
 #: Bytes of a text looked at together.
 STRETCH = 1 << 20
-#: c log2 c for the count c of a byte in a window.
-PART = np.concatenate([[0.0], np.arange(1, 65) * np.log2(np.arange(1, 65))]).astype(np.float32)
+#: c log2 c for the count c of a byte in a window, in whole 2^-20ths, so that sums are exact wherever a window stands.
+UNIT = 1 << 20
+PART = np.rint(np.concatenate([[0.0], np.arange(1, 65) * np.log2(np.arange(1, 65))]) * UNIT).astype(np.int64)
 
 
-def rarity(data: np.ndarray, window: int) -> np.ndarray:
+def rarity(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """How ordinary each window is, smaller for rarer: distance of its entropy from the middle of the scale.
 
     Windows of very little entropy (padding, repeats) come last. The entropy is carried along: one
@@ -50,33 +52,43 @@ def rarity(data: np.ndarray, window: int) -> np.ndarray:
     go = PART[after + 1] - PART[after]
     # The first window is built up byte by byte; then each step brings one byte in and takes one out.
     head = np.bincount(data[:window], minlength=256)
-    steps = come[window:].astype(np.float64) - go[: n - window]
-    total = PART[head].sum(dtype=np.float64) + np.concatenate([[0.0], np.cumsum(steps)])
-    entropy = np.log2(window) - total / window
+    total = PART[head].sum() + np.concatenate([[0], np.cumsum(come[window:] - go[: n - window])])
+    entropy = np.log2(window) - total / (window * UNIT)
     level = np.rint(entropy * (1000 / np.log2(window))).astype(np.int64)
-    # High entropy is rare in prose; nearly random and nearly constant windows tell nothing.
-    useless = (level < PLAIN) | (level > RANDOM) if window >= 32 else level < PLAIN
-    return np.where(useless, USELESS, 1000 - level)
+    # High entropy is rare in prose; nearly constant windows tell nothing.
+    return np.where(level < PLAIN, USELESS, 1000 - level)
 
 
-def features(data: np.ndarray, window: int) -> np.ndarray:
-    """64-bit hashes of the selected windows, in order of their place, equal ones once."""
+def window_hashes(data: np.ndarray, window: int) -> np.ndarray:
+    """A 64-bit hash of every window."""
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, window)).view(np.uint64)
+    mixed = np.zeros(len(words), np.uint64)
+    for k in range(words.shape[1]):
+        mixed = (mixed ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
+def features(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """64-bit hashes of the selected windows, in order of their place, equal ones once.
+
+    Of equally rare windows the one with the smallest hash wins, so the choice depends on nothing but the bytes around.
+    """
     if len(data) < window:
         return np.zeros(0, np.uint64) if not len(data) else np.array([int.from_bytes(hashlib.blake2b(data.tobytes(), digest_size=8).digest(), "little")], np.uint64)
     found, run = [], window
-    for start in range(0, max(1, len(data) - window + 1), STRETCH):
+    for start in range(0, len(data) - window + 1, STRETCH):
         part = data[start : start + STRETCH + 2 * window - 2]
-        if len(part) < window:
-            break
-        ranks = rarity(part, window)
+        ranks, hashes = rarity(part, window), window_hashes(part, window)
         n = len(ranks)
+        order = (ranks << 52) | ((hashes >> np.uint64(32)).astype(np.int64) & 0xFFFFF) << 32 | np.arange(n)
         if n <= run:
-            wins = np.array([int(np.argmin(ranks))])
+            wins = np.array([int(np.argmin(order))])
         else:
-            # Smallest (rank, place) of each run neighbours: smallest of a block's end and the next one's start.
+            # Smallest of each run neighbours: smallest of a block's end and the next one's start.
             whole = -(-n // run) * run
             both = np.full(whole, np.iinfo(np.int64).max)
-            both[:n] = ranks * (1 << 32) + np.arange(n)
+            both[:n] = order
             grid = both.reshape(-1, run)
             left = np.minimum.accumulate(grid, axis=1).ravel()
             right = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
@@ -84,24 +96,17 @@ def features(data: np.ndarray, window: int) -> np.ndarray:
             edge = np.flatnonzero(np.diff(least, prepend=-1))
             wins = least[edge][np.diff(edge, append=len(least)) >= WINS * run]
         wins = wins[ranks[wins] < USELESS] if len(wins) > 1 else wins
-        found.append(wins + start)
-    places = np.unique(np.concatenate(found))
-    if not len(places):
-        places = np.array([0])
-    windows = np.lib.stride_tricks.sliding_window_view(data, window)[places]
-    words = np.ascontiguousarray(windows).view(np.uint64)
-    mixed = np.zeros(len(words), np.uint64)
-    for k in range(words.shape[1]):
-        mixed = (mixed ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    _, first = np.unique(mixed, return_index=True)
-    return mixed[np.sort(first)]
+        found.append(hashes[wins])
+    chosen = np.concatenate(found)
+    if not len(chosen):
+        chosen = window_hashes(data[:window], window)
+    _, first = np.unique(chosen, return_index=True)
+    return chosen[np.sort(first)]
 
 
 def digest(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Filters (one row of packed bits each) and the number of features in each."""
-    window = next(w for least, w in WINDOWS if len(text) >= least)
-    hashes = features(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), window)
+    hashes = features(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))
     n = -(-len(hashes) // FILTER_FEATURES)
     bits = np.zeros((n, FILTER_BITS), bool)
     owner = np.arange(len(hashes)) // FILTER_FEATURES
@@ -128,17 +133,19 @@ def from_text(printed: str) -> tuple[np.ndarray, np.ndarray]:
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """0 to 1: for each filter of the one with fewer, its best normalised overlap, weighed by its features.
 
-    The overlap of two filters is the share of common bits between what chance gives and the most there could
+    It is held against each filter of the other and each two neighbours together, since features of one filter
+    may lie in two there if the texts begin in different places. The overlap of two filters is the share of common bits between what chance gives and the most there could
     be. Two empty digests are alike (1), an empty one and another are not (0).
     """
     if len(b[0]) < len(a[0]) or (len(a[0]) == len(b[0]) and b[1].sum() < a[1].sum()):
         a, b = b, a
     if not len(a[0]):
         return float(not len(b[0]))
-    ones_a = np.bitwise_count(a[0]).sum(axis=1, dtype=np.int64).astype(float)
-    ones_b = np.bitwise_count(b[0]).sum(axis=1, dtype=np.int64).astype(float)
-    best = np.zeros(len(a[0]))
     wide_a, wide_b = a[0].view(np.uint64), b[0].view(np.uint64)
+    wide_b = np.concatenate([wide_b, wide_b[:-1] | wide_b[1:]])
+    ones_a = np.bitwise_count(wide_a).sum(axis=1, dtype=np.int64).astype(float)
+    ones_b = np.bitwise_count(wide_b).sum(axis=1, dtype=np.int64).astype(float)
+    best = np.zeros(len(a[0]))
     for k in range(len(a[0])):
         common = np.bitwise_count(wide_a[k] & wide_b).sum(axis=1, dtype=np.int64)
         most = np.minimum(ones_a[k], ones_b)
@@ -212,7 +219,8 @@ def compare_with_next(docs: DataFrame, rows_per_block: int = 1000, most_blocks:
     ``docs`` has ``doc_id, text``. The next document is the next by ascending id (rows that share an id come in
     order of their text, and follow one another), the first after the last. Null text is empty; an empty text has no feature,
     one shorter than a window a single one. A table of one row is its own next. Rows without an id take no part.
-    An empty table gives an empty result. Texts are shuffled once; each task streams through its range.
+    An empty table gives an empty result; other columns are not read. A very long text is looked at a stretch at a time, but stays in one task, and
+    comparing two of them costs the product of their filters. Texts are shuffled once; each task streams through its range.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -47,6 +47,7 @@ def op2_token_counts(spark, sf):
 
 @query
 def op3_improbable_features(spark, sf):
+    """Fingerprints of every text and of its edited text, and their likeness to each other and to the next document's."""
     return digests.compare_with_next(read(spark, sf, "documents"))
 
 

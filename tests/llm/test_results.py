@@ -144,7 +144,65 @@ def test_rarity(window):
         if ranks[at] != digests.USELESS:
             assert abs(1000 - level - ranks[at]) <= 1
         else:
-            assert level < digests.PLAIN + 1 or level > digests.RANDOM - 1
+            assert level < digests.PLAIN + 1
+
+
+def slow_fingerprint(text):
+    """Features by one contest after the other, bits in Python numbers, printed like the operator's."""
+    raw, mask = text.encode(), (1 << 64) - 1
+
+    def hashed(window):
+        h = 0
+        for at in (0, 8):
+            h = ((h ^ int.from_bytes(window[at : at + 8], "little")) * 0x9E3779B97F4A7C15) & mask
+            h ^= h >> 29
+        return h
+
+    def rank(at):
+        level = round(entropy_rank(np.frombuffer(raw, np.uint8), at, 16))
+        return 2000 if level < 100 else 1000 - level
+
+    n = len(raw) - 15
+    if n < 1:
+        chosen = [int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")] if raw else []
+    else:
+        hashes = [hashed(raw[at : at + 16]) for at in range(n)]
+        order = [(rank(at), (hashes[at] >> 32) % (1 << 20), at) for at in range(n)]
+        if n <= 16:
+            chosen = [hashes[min(order)[2]]]
+        else:
+            won = Counter(min(order[k : k + 16])[2] for k in range(n - 15))
+            wins = [at for at in sorted(won) if won[at] >= 4]
+            wins = [at for at in wins if order[at][0] < 2000] if len(wins) > 1 else wins
+            chosen = list(dict.fromkeys(hashes[at] for at in wins)) or [hashes[0]]
+    filters = [0] * -(-len(chosen) // 160)
+    for k, h in enumerate(chosen):
+        for turn in range(5):
+            filters[k // 160] |= 1 << (2047 - (h >> 11 * turn) % 2048)
+    packed = b"".join(f.to_bytes(256, "big") for f in filters)
+    return len(chosen), packed
+
+
+def test_fingerprints_by_brute_force(texts):
+    some = [t for t in texts.values() if len(t) < 3000][:60]
+    for text in ["", "a", "fifteen letters", "sixteen letters.", "x" * 100, "abcdefghij" * 20, "é" * 9 + "ü1234567890" * 4, *some]:
+        filters, held = digests.digest(text)
+        assert (held.sum(), filters.tobytes()) == slow_fingerprint(text)
+
+
+@pytest.mark.parametrize("length", [64, 256, 1024, 4000])
+def test_likeness_does_not_turn_at_a_length(texts, length):
+    story = " ".join(texts[k] for k in sorted(texts))
+    other = digests.digest(story[60_000 : 60_000 + length])
+    for at in range(0, 50_000, 5_000):
+        whole = story[at : at + 2 * length]
+        long, near, less = (digests.digest(whole[: length + k]) for k in (0, 5, -5))
+        floor = 0.6 if length == 64 else 0.9  # a text of 64 bytes has some five features
+        assert digests.likeness(long, near) > floor and digests.likeness(long, less) > floor
+        middle = digests.digest(whole[length // 2 : length // 2 + length])
+        assert digests.likeness(long, digests.digest(whole)) > floor
+        assert length == 64 or digests.likeness(middle, digests.digest(whole)) > 0.8
+        assert length == 64 or digests.likeness(long, other) < 0.3
 
 
 def test_digests_of_neighbours(spark, documents, texts):
